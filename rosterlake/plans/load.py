@@ -86,8 +86,9 @@ def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
     """Append the days after the loaded ones, up to `last`; a second run adds nothing.
 
     The originals are computed once, into a staging table in the shared folder.
-    Corrections and checks read that table, and the fact gets one write: the load is
-    not computed again, and a failed check leaves the fact as it was.
+    Corrections and checks read that table, and the fact gets one write, after one
+    shuffle by day: the load is not computed again, and a failed check leaves the fact
+    as it was.
     """
     lake.create(FACT)
     lake.add_missing_columns(FACT)
@@ -98,18 +99,16 @@ def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
 
     judged = judged_facts(inputs, first, last, batch_id, load_timestamp)
     staging = f"staging_{batch_id.replace('-', '_').lower()}"
-    lay_out_fact(judged).write.partitionBy("work_date").saveAsTable(lake.name(staging))
+    judged.write.saveAsTable(lake.name(staging))
     try:
         staged = lake.read(staging)
         accepted = staged.filter(F.col("reason").isNull()).select(*COLUMNS)
         rejected = staged.filter(F.col("reason").isNotNull())
         corrections = correction_rows(accepted, adjustments_by_id(inputs.adjustments))
-        facts = accepted.unionByName(lay_out_fact(corrections))
+        facts = accepted.unionByName(corrections)
         require_not_null(facts, FACT, TIMESHEETS)
         require_unique_facts(facts)
-        loaded = lake.append(
-            facts.sortWithinPartitions("work_date", "emp_id", "project_id"), FACT
-        )
+        loaded = lake.append(lay_out_fact(facts), FACT)
         set_aside = lake.append(rejected, QUARANTINE) if not rejected.isEmpty() else 0
     finally:
         lake.drop(staging)

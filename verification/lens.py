@@ -263,10 +263,10 @@ class Lens:
     def assignments(self):
         """Up to twelve assignments per employee, with their days and gaps."""
         key, seq = F.col("emp_id"), F.col("seq")
-        count = (key % 8 + 4).cast("int")
+        count = key % 8 + 4
         return (
             self.source("customer").select(F.col("c_custkey").alias("emp_id"))
-            .withColumn("seq", F.explode(F.sequence(F.lit(0), count)).cast("long"))
+            .withColumn("seq", F.explode(F.sequence(F.lit(0).cast("long"), count)))
             .select(
                 "emp_id", "seq",
                 ((key * 7 + seq * 13) % 141 + 28).alias("duration_days"),
