@@ -10,13 +10,14 @@ def _rows():
     return F.count(F.lit(1))
 
 
-def with_share(groups, count, digits):
-    """Share of the total of all groups.
+def with_share(groups, count, grouped, digits):
+    """Share of each group in all rows of the grouped frame.
 
-    The total is a scalar subquery over the groups, not a window over all of them,
-    which would gather every group in one task.
+    The total is a scalar subquery that counts the rows, which Parquet answers from
+    its footers. A window over all groups would gather them in one task, however
+    many there are.
     """
-    total = groups.agg(F.sum(count)).scalar()
+    total = grouped.agg(_rows()).scalar()
     return groups.withColumn("pct", round_half_up(percent(F.col(count), total), digits))
 
 
@@ -87,7 +88,7 @@ def currencies(employees):
         round_half_up(F.max(salary), 2).alias("max_salary"),
         round_half_up(exact_avg(salary), 2).alias("avg_salary"),
     )
-    return with_share(groups, "employee_count", 1).orderBy(F.desc("employee_count"))
+    return with_share(groups, "employee_count", employees, 1).orderBy(F.desc("employee_count"))
 
 
 def exchange_rates(rates):
@@ -110,13 +111,10 @@ def markets(projects, base=MARKET_SHARE_BASE):
 
     base=None takes the counted number instead.
     """
-    groups = (
-        projects.filter(F.col("project_id") != BENCH_PROJECT_ID)
-        .groupBy("client_country")
-        .agg(_rows().alias("project_count"))
-    )
+    clients = projects.filter(F.col("project_id") != BENCH_PROJECT_ID)
+    groups = clients.groupBy("client_country").agg(_rows().alias("project_count"))
     if base is None:
-        shared = with_share(groups, "project_count", 1)
+        shared = with_share(groups, "project_count", clients, 1)
     else:
         shared = groups.withColumn(
             "pct", round_half_up(percent(F.col("project_count"), F.lit(base)), 1)
@@ -136,7 +134,7 @@ def entry_types(timesheets):
         money_sum(F.col("revenue_usd")).alias("total_revenue_usd"),
         round_half_up(exact_avg(F.col("hours_worked")), 2).alias("avg_hours"),
     )
-    return with_share(groups, "row_count", 2).orderBy("entry_type")
+    return with_share(groups, "row_count", timesheets, 2).orderBy("entry_type")
 
 
 def id_uniqueness(timesheets):

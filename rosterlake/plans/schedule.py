@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from rosterlake.constants import HISTORY_START
 from rosterlake.functions.dates import is_weekend
 from rosterlake.operators.prefix_sum import add_sum_before
-from rosterlake.plans.calendar import series
 
 
 def build_schedule(employees, assignments, horizon, history_start=HISTORY_START):
@@ -41,33 +40,67 @@ def employee_days(employees, first, last, absences, weekend_work):
 
     From the later of `first` and the join date to `last`; days of absence are left
     out, weekend days are kept only where listed.
+
+    The lists meet the employees as one array of days each, no longer than the
+    calendar, and the days are multiplied out last: the spine itself is never
+    shuffled. Employees are spread over all tasks before they multiply; hashing two
+    columns keeps Spark from taking the join's own partitions, merged by size, for it.
     """
     begin = F.greatest(F.lit(first).cast("date"), F.col("join_date"))
-    spine = series(
-        employees.select("emp_id", "join_date"), begin, F.lit(last).cast("date"), name="work_date"
-    ).select("emp_id", "work_date")
-    return open_days(spine, absences, weekend_work)
+    end = F.lit(last).cast("date")
+    hired = employees.select("emp_id", begin.alias("_begin")).filter(F.col("_begin") <= end)
+    day_lists = (
+        _marks(absences, weekend_work)
+        .groupBy("emp_id")
+        .agg(
+            F.collect_set(F.when(F.col("_absent"), F.col("work_date"))).alias("_away"),
+            F.collect_set(F.when(F.col("_listed"), F.col("work_date"))).alias("_extra"),
+        )
+    )
+    nothing = F.array().cast("array<date>")
+    spread = hired.join(day_lists, "emp_id", "left").repartition(
+        _task_count(employees.sparkSession), "emp_id", "_begin"
+    )
+    weekdays = F.filter(
+        F.sequence("_begin", end, F.expr("INTERVAL 1 DAY")), lambda d: ~is_weekend(d)
+    )
+    extra = F.filter(
+        F.coalesce("_extra", nothing), lambda d: (d >= F.col("_begin")) & (d <= end)
+    )
+    days = F.array_except(F.array_union(weekdays, extra), F.coalesce("_away", nothing))
+    return spread.select("emp_id", F.explode(days).alias("work_date"))
+
+
+def _task_count(spark):
+    """As many tasks as the session shuffles into, and no fewer than it has cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
+
+
+def _marks(absences, weekend_work):
+    """Employee and day of both lists, told apart by two flags."""
+    key = ["emp_id", "work_date"]
+    away = absences.select(*key, F.lit(True).alias("_absent"), F.lit(False).alias("_listed"))
+    extra = weekend_work.select(*key, F.lit(False).alias("_absent"), F.lit(True).alias("_listed"))
+    return away.unionByName(extra)
 
 
-def open_days(days, absences, weekend_work):
-    """Leave out absences, and weekend days not listed.
+def open_days(entries, absences, weekend_work):
+    """Leave out entries on days of absence, and on weekend days not listed.
 
     Both lists are first reduced to one row per employee and day, so that one join
     answers both, with many rows per key on its left side only.
     """
     key = ["emp_id", "work_date"]
     marks = (
-        absences.select(*key, F.lit(True).alias("_absent"), F.lit(False).alias("_listed"))
-        .unionByName(weekend_work.select(
-            *key, F.lit(False).alias("_absent"), F.lit(True).alias("_listed")
-        ))
+        _marks(absences, weekend_work)
         .groupBy(*key)
         .agg(F.bool_or("_absent").alias("_absent"), F.bool_or("_listed").alias("_listed"))
     )
     absent = F.coalesce("_absent", F.lit(False))
     listed = F.coalesce("_listed", F.lit(False))
     return (
-        days.join(marks, key, "left")
+        entries.join(marks, key, "left")
         .filter(~absent & (~is_weekend(F.col("work_date")) | listed))
         .drop("_absent", "_listed")
     )

@@ -17,6 +17,20 @@ MARKETS = ["USA", "United Kingdom", "Australia", "Canada", "Germany", "Netherlan
 DEPARTMENTS = ["Engineering", "Data Science", "Cloud", "Sales", "HR", "QA", None, "Legal"]
 REGIONS = ["Pakistan", "USA", "UNITED KINGDOM", "UAE", "Germany", "SAUDI ARABIA", "Atlantis"]
 
+SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+}
+
 
 def _pick(index, values):
     """values[index] as a chain of conditions; a null value stays null."""
@@ -32,7 +46,7 @@ class Lens:
         self.folder = folder.rstrip("/")
 
     def source(self, table):
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.spark.read.schema(SOURCES[table]).parquet(f"{self.folder}/{table}.parquet")
 
     @cached_property
     def employees(self):
