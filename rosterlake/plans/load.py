@@ -11,7 +11,7 @@ from rosterlake.constants import HISTORY_START
 from rosterlake.operators.asof import active_project
 from rosterlake.operators.checks import require_not_null, require_unique_facts, with_reason
 from rosterlake.operators.keys import row_id
-from rosterlake.plans.facts import COLUMNS, correction_rows, fact_metrics
+from rosterlake.plans.facts import COLUMNS, apply_corrections, fact_metrics
 from rosterlake.plans.schedule import loggable
 from rosterlake.schemas import NATURAL_KEY, TIMESHEETS
 from rosterlake.sources.tables import lay_out_fact
@@ -82,34 +82,39 @@ def adjustments_by_id(adjustments):
     return original.select(row_id(*NATURAL_KEY).alias("timesheet_id"), "adjusted_hours")
 
 
-def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
-    """Append the days after the loaded ones, up to `last`; a second run adds nothing.
+def publish(lake, judged, batch_id, adjustments=None):
+    """Check originals and append them with their corrections: (loaded, set aside).
 
     The originals are computed once, into a staging table in the shared folder.
     Corrections and checks read that table, and the fact gets one write, after one
-    shuffle by day: the load is not computed again, and a failed check leaves the fact
-    as it was.
+    shuffle by day: nothing is computed again, and a failed check leaves the fact as
+    it was.
     """
-    lake.create(FACT)
-    lake.add_missing_columns(FACT)
-    first = high_water_mark(lake.read(FACT), history_start).head()["next_start"]
-    batch_id, load_timestamp = new_batch(now)
-    if first > last:
-        return Outcome(first, last, 0, 0, batch_id)
-
-    judged = judged_facts(inputs, first, last, batch_id, load_timestamp)
     staging = f"staging_{batch_id.replace('-', '_').lower()}"
-    judged.write.saveAsTable(lake.name(staging))
+    judged.write.mode("overwrite").saveAsTable(lake.name(staging))
     try:
         staged = lake.read(staging)
-        accepted = staged.filter(F.col("reason").isNull()).select(*COLUMNS)
+        facts = staged.filter(F.col("reason").isNull()).select(*COLUMNS)
         rejected = staged.filter(F.col("reason").isNotNull())
-        corrections = correction_rows(accepted, adjustments_by_id(inputs.adjustments))
-        facts = accepted.unionByName(corrections)
+        if adjustments is not None:
+            facts = apply_corrections(facts, adjustments_by_id(adjustments))
         require_not_null(facts, FACT, TIMESHEETS)
         require_unique_facts(facts)
         loaded = lake.append(lay_out_fact(facts), FACT)
-        set_aside = lake.append(rejected, QUARANTINE) if not rejected.isEmpty() else 0
+        set_aside = 0 if rejected.isEmpty() else lake.append(rejected, QUARANTINE)
     finally:
         lake.drop(staging)
+    return loaded, set_aside
+
+
+def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
+    """Append the days after the loaded ones, up to `last`; a second run adds nothing."""
+    lake.create(FACT)
+    lake.add_missing_columns(FACT)
+    first = high_water_mark(lake.read(FACT), history_start).head()["next_start"]
+    batch_id, load_timestamp = new_batch(now)
+    if first > last:
+        return Outcome(first, last, 0, 0, batch_id)
+    judged = judged_facts(inputs, first, last, batch_id, load_timestamp)
+    loaded, set_aside = publish(lake, judged, batch_id, inputs.adjustments)
     return Outcome(first, last, loaded, set_aside, batch_id)

@@ -1,0 +1,71 @@
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlake.functions import dates, lookup, numbers, text
+from tests.conftest import day
+
+
+def one(spark, expression, value, kind):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(expression(F.col("v"))).head()[0]
+
+
+@pytest.mark.parametrize("value, expected", [
+    ("mary-jane o'brien j.r.", "Mary-Jane O'brien J.R."),
+    ("USA", "Usa"),
+    ("UAE", "Uae"),
+    ("SENIOR ANALYST", "Senior Analyst"),
+    ("a\tb\nc", "A\tB\nC"),
+    ("building-customer#000000005", "Building-Customer#000000005"),
+    ("", ""),
+    (None, None),
+])
+def test_title_case(spark, value, expected):
+    assert one(spark, text.title_case, value, "string") == expected
+
+
+@pytest.mark.parametrize("value, expected", [
+    ("\ta\n", "a"), ("   a b  ", "a b"), (" a ", "a"), ("  ", ""), (None, None),
+])
+def test_trim_takes_all_white_space(spark, value, expected):
+    assert one(spark, text.trim_all, value, "string") == expected
+
+
+@pytest.mark.parametrize("value, digits, expected", [
+    (1.005, 2, 1.01), (2.675, 2, 2.68), (-1.005, 2, -1.01), (0.5, 0, 1.0), (1e17 / 7, 2, 14285714285714286.0),
+])
+def test_rounding_is_half_away_from_zero(spark, value, digits, expected):
+    assert one(spark, lambda c: numbers.round_half_up(c, digits), value, "double") == expected
+
+
+@pytest.mark.parametrize("value, expected", [
+    (7.0 * 0.8, 5.5), (2.5 * 0.5, 1.0), (0.25, 0.0), (0.75, 1.0), (8.0, 8.0), (-0.75, -1.0),
+])
+def test_half_hours_go_to_even(spark, value, expected):
+    assert one(spark, numbers.half_hours, value, "double") == expected
+
+
+@pytest.mark.parametrize("value, expected", [(278.1, 0.003596), (1.0, 1.0), (0.0, None), (None, None)])
+def test_reciprocal_rate(spark, value, expected):
+    assert one(spark, numbers.usd_per_unit, value, "double") == expected
+
+
+def test_money_sum_does_not_depend_on_order(spark):
+    cents = [0.1, 0.2, 0.3, 1e12, -1e12]
+    frame = spark.createDataFrame([(c,) for c in cents], "v double")
+    assert frame.agg(numbers.money_sum(F.col("v"))).head()[0] == 0.6
+
+
+@pytest.mark.parametrize("key, expected", [("a", 1.0), ("z", 9.0), (None, 9.0)])
+def test_lookup_with_default(spark, key, expected):
+    assert one(spark, lambda c: lookup.lookup(c, {"a": 1.0, "b": 2.0}, 9.0), key, "string") == expected
+
+
+@pytest.mark.parametrize("value, expected", [
+    ("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-02-01"), ("2024-12-31", "2025-01-01"),
+])
+def test_first_month_start(spark, value, expected):
+    assert one(spark, dates.first_month_start_from, day(value), "date") == day(expected)
+
+
+def test_month_start(spark):
+    assert one(spark, dates.month_start, day("2024-02-29"), "date") == day("2024-02-01")
