@@ -8,8 +8,8 @@ from rosterlake.functions.dates import calendar_columns, first_month_start_from
 def series(bounds, first, last, months=False, name="day"):
     """One row per day, or per month start, from first to last, both included.
 
-    Rows whose first day lies after the last yield nothing; `sequence` alone would
-    count downwards.
+    Rows whose first day lies after the last yield nothing. `sequence` alone would
+    count downwards, or fail when Spark evaluates constant bounds ahead of the filter.
     """
     if months:
         first = first_month_start_from(first)
@@ -20,7 +20,7 @@ def series(bounds, first, last, months=False, name="day"):
         bounds.withColumn("_first", first)
         .withColumn("_last", last)
         .filter(F.col("_first") <= F.col("_last"))
-        .withColumn(name, F.explode(F.sequence("_first", "_last", step)))
+        .withColumn(name, F.explode(F.sequence("_first", F.greatest("_first", "_last"), step)))
         .drop("_first", "_last")
     )
 

@@ -84,9 +84,10 @@ def new_rates(rates, existing):
 
 def load_exchange_rates(lake, documents, bounds, currencies=FX_CURRENCIES):
     """Build, check, and append the missing months; returns the number of new rows."""
-    rates = carry_forward(fetched_rates(documents), bounds, currencies)
+    fetched = fetched_rates(documents)
+    require_unique_rates(fetched)
+    rates = carry_forward(fetched, bounds, currencies)
     require_known_rates(rates)
-    require_unique_rates(rates)
     return lake.append(
         new_rates(rates, lake.read_or_empty("dim_exchange_rates")), "dim_exchange_rates"
     )

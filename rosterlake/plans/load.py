@@ -82,9 +82,20 @@ def adjustments_by_id(adjustments):
     return original.select(row_id(*NATURAL_KEY).alias("timesheet_id"), "adjusted_hours")
 
 
-def publish(lake, judged, batch_id, adjustments=None):
+def unseen(rows, table):
+    """Rows whose id the table does not hold; of the table only their range of days is read."""
+    days = rows.agg(F.min("work_date").alias("first"), F.max("work_date").alias("last")).head()
+    known = table.filter(F.col("work_date").between(F.lit(days["first"]), F.lit(days["last"])))
+    return rows.join(known.select("timesheet_id").distinct(), "timesheet_id", "left_anti").select(
+        *rows.columns
+    )
+
+
+def publish(lake, judged, batch_id, adjustments=None, skip_known=False):
     """Check originals and append them with their corrections: (loaded, set aside).
 
+    skip_known: leave out rows whose id is in the table, for input that may come twice.
+
     The originals are computed once, into a staging table in the shared folder.
     Corrections and checks read that table, and the fact gets one write, after one
     shuffle by day: nothing is computed again, and a failed check leaves the fact as
@@ -98,6 +109,9 @@ def publish(lake, judged, batch_id, adjustments=None):
         rejected = staged.filter(F.col("reason").isNotNull())
         if adjustments is not None:
             facts = apply_corrections(facts, adjustments_by_id(adjustments))
+        if skip_known:
+            facts = unseen(facts, lake.read(FACT))
+            rejected = unseen(rejected, lake.read_or_empty(QUARANTINE))
         require_not_null(facts, FACT, TIMESHEETS)
         require_unique_facts(facts)
         loaded = lake.append(lay_out_fact(facts), FACT)

@@ -62,7 +62,8 @@ def employee_days(employees, first, last, absences, weekend_work):
         _task_count(employees.sparkSession), "emp_id", "_begin"
     )
     weekdays = F.filter(
-        F.sequence("_begin", end, F.expr("INTERVAL 1 DAY")), lambda d: ~is_weekend(d)
+        F.sequence("_begin", F.greatest("_begin", end), F.expr("INTERVAL 1 DAY")),
+        lambda d: ~is_weekend(d),
     )
     extra = F.filter(
         F.coalesce("_extra", nothing), lambda d: (d >= F.col("_begin")) & (d <= end)

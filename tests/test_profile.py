@@ -1,0 +1,90 @@
+import pytest
+
+from rosterlake.operators.checks import expectation_report
+from rosterlake.plans import profile
+from rosterlake.schemas import EMPLOYEES, EXCHANGE_RATES, PROJECTS, TIMESHEETS
+from tests.conftest import day, rows
+from tests.test_silver_gold import NOON, sheet
+
+
+@pytest.fixture
+def employees(spark):
+    def person(i, name, department, salary, currency, region="USA"):
+        return (i, name, department, "MANAGER", salary, currency, region, day("2024-01-01"))
+
+    return spark.createDataFrame([
+        person(1, " a", None, 10.0, "PKR"), person(2, "b ", "MISSING", 20.0, "PKR", None),
+        person(3, "c", None, 30.005, "PKR"), person(4, "\td", "QA", None, "USD"),
+    ], EMPLOYEES)
+
+
+def test_departments_group_by_the_raw_value(employees):
+    assert rows(profile.department_nulls(employees)) == [("MISSING", 1), ("MISSING", 2), ("QA", 1)]
+    assert profile.department_nulls(employees).head()["employee_count"] == 2
+
+
+def test_currencies(employees):
+    assert profile.currencies(employees).columns == [
+        "currency", "employee_count", "min_salary", "max_salary", "avg_salary", "pct"]
+    assert rows(profile.currencies(employees)) == [
+        ("PKR", 3, 10.0, 30.01, 20.0, 75.0), ("USD", 1, None, None, None, 25.0)]
+
+
+def test_messy_names_are_padded_with_blanks(employees):
+    assert rows(profile.messy_names(employees)) == [(" a", 2), ("b ", 2)]
+
+
+def test_regions_sort_null_first(employees):
+    assert [r["region"] for r in profile.regions(employees).collect()] == [None, "USA"]
+
+
+def test_markets(spark):
+    frame = spark.createDataFrame(
+        [(-1, "Bench", "Internal", "Internal"), (1, "p", "c", "USA"), (2, "p", "c", "USA"), (3, "p", "c", "Qatar")],
+        PROJECTS)
+    assert rows(profile.markets(frame), "client_country", "pct") == [("Qatar", 1.0), ("USA", 2.0)]
+    assert rows(profile.markets(frame, base=None), "client_country", "pct") == [("Qatar", 33.3), ("USA", 66.7)]
+    assert rows(profile.bench_row(frame), "project_name") == [("Bench",)]
+
+
+def test_fact_profiles(spark):
+    frame = spark.createDataFrame(
+        [sheet("a", hours=8.0, billable=True), sheet("a", hours=0.0), sheet("b", hours=-2.0, correction=True),
+         sheet("c", work="2024-03-01", batch="b2")], TIMESHEETS)
+    assert rows(profile.date_range(frame)) == [(day("2024-01-10"), day("2024-03-01"), 51)]
+    assert rows(profile.hours(frame)) == [(4, 1, 1, 2, -2.0, 8.0)]
+    assert rows(profile.id_uniqueness(frame)) == [(4, 3, 1)]
+    assert rows(profile.entry_types(frame), "entry_type", "row_count", "pct", "total_revenue_usd", "avg_hours") == [
+        ("correction", 1, 25.0, 0.0, -2.0), ("original", 3, 75.0, 400.0, 3.33)]
+    assert rows(profile.batches(frame), "batch_id", "rows_in_batch", "batch_start") == [
+        ("b1", 3, NOON), ("b2", 1, NOON)]
+    assert rows(profile.batches(frame, rows=1), "batch_id") == [("b1",)]
+    assert profile.preview(frame, "timesheet_id", rows=2).count() == 2
+
+
+def test_profiles_of_empty_tables(spark):
+    frame = spark.createDataFrame([], TIMESHEETS)
+    assert rows(profile.date_range(frame)) == [(None, None, None)]
+    assert rows(profile.hours(frame)) == [(0, 0, 0, 0, None, None)]
+    assert rows(profile.entry_types(frame)) == []
+
+
+def test_expectations(spark, employees):
+    facts = spark.createDataFrame([sheet("a"), sheet("a")], TIMESHEETS)
+    projects = spark.createDataFrame([(-1, "Bench", "Internal", "Internal")], PROJECTS)
+    rates = spark.createDataFrame([], EXCHANGE_RATES)
+    report = {r["expectation"]: (r["observed"], r["passed"]) for r in expectation_report(
+        facts, employees, projects, rates, day("2024-01-10"), day("2024-01-12"),
+        {"history_end_lag_days": (0, 3)}).collect()}
+    assert report == {
+        "history_start_offset_days": (0.0, True), "history_end_lag_days": (2.0, True),
+        "negative_hours_pct": (0.0, False), "correction_pct": (0.0, False), "duplicate_ids": (1.0, False),
+        "null_department_pct": (50.0, False), "padded_name_pct": (50.0, False), "pkr_salary_pct": (75.0, True),
+        "client_projects": (0.0, False), "bench_rows": (1.0, True), "fx_rows": (0.0, False),
+    }
+
+
+def test_expectations_of_empty_tables_fail_quietly(spark):
+    empty = [spark.createDataFrame([], s) for s in (TIMESHEETS, EMPLOYEES, PROJECTS, EXCHANGE_RATES)]
+    report = expectation_report(*empty, day("2024-01-10"), day("2024-01-12"))
+    assert report.count() == 11 and report.filter("passed").count() == 1
