@@ -14,10 +14,10 @@ from rosterlake.operators.keys import row_id
 from rosterlake.plans.facts import COLUMNS, apply_corrections, fact_metrics
 from rosterlake.plans.schedule import loggable
 from rosterlake.schemas import NATURAL_KEY, TIMESHEETS
-from rosterlake.sources.tables import lay_out_fact
 
 FACT = "fact_timesheets"
 QUARANTINE = "quarantine_timesheets"
+STAGING = "staging_load_"
 
 
 @dataclass
@@ -56,7 +56,7 @@ def new_batch(now=None):
 def high_water_mark(facts, history_start=HISTORY_START):
     """One row: the last loaded day and the next day to load.
 
-    The day is the partition column, so only file footers are read.
+    facts may be the fact or, cheaper, the days its partitions are listed under.
     """
     last = F.max("work_date")
     return facts.agg(
@@ -91,44 +91,64 @@ def unseen(rows, table):
     )
 
 
-def publish(lake, judged, batch_id, adjustments=None, skip_known=False):
-    """Check originals and append them with their corrections: (loaded, set aside).
+def stage(lake, judged, staging):
+    """Compute the originals once, into a table in the shared folder.
+
+    The table appears in the catalog only when its files are complete.
+    """
+    judged.write.saveAsTable(lake.name(staging))
 
-    skip_known: leave out rows whose id is in the table, for input that may come twice.
 
-    The originals are computed once, into a staging table in the shared folder.
-    Corrections and checks read that table, and the fact gets one write, after one
-    shuffle by day: nothing is computed again, and a failed check leaves the fact as
-    it was.
+def publish(lake, staging, adjustments=None, skip_known=False):
+    """Check staged originals and append them with their corrections: (loaded, set aside).
+
+    Corrections and checks read the staging table, and the fact gets one write, after
+    one shuffle by day: nothing is computed again, and a failed check leaves the fact
+    as it was. skip_known: leave out rows whose id is in the table already.
     """
-    staging = f"staging_{batch_id.replace('-', '_').lower()}"
-    judged.write.mode("overwrite").saveAsTable(lake.name(staging))
+    staged = lake.read(staging)
+    facts = staged.filter(F.col("reason").isNull()).select(*COLUMNS)
+    rejected = staged.filter(F.col("reason").isNotNull())
+    if adjustments is not None:
+        facts = apply_corrections(facts, adjustments_by_id(adjustments))
     try:
-        staged = lake.read(staging)
-        facts = staged.filter(F.col("reason").isNull()).select(*COLUMNS)
-        rejected = staged.filter(F.col("reason").isNotNull())
-        if adjustments is not None:
-            facts = apply_corrections(facts, adjustments_by_id(adjustments))
-        if skip_known:
-            facts = unseen(facts, lake.read(FACT))
-            rejected = unseen(rejected, lake.read_or_empty(QUARANTINE))
         require_not_null(facts, FACT, TIMESHEETS)
         require_unique_facts(facts)
-        loaded = lake.append(lay_out_fact(facts), FACT)
-        set_aside = 0 if rejected.isEmpty() else lake.append(rejected, QUARANTINE)
-    finally:
+    except ValueError:
         lake.drop(staging)
+        raise
+    if skip_known:
+        facts = unseen(facts, lake.read(FACT))
+        rejected = unseen(rejected, lake.read_or_empty(QUARANTINE))
+    loaded = lake.append(facts, FACT)
+    set_aside = 0 if rejected.isEmpty() else lake.append(rejected, QUARANTINE)
+    # not in a finally block: what a failed write leaves staged, the next run finishes
+    lake.drop(staging)
     return loaded, set_aside
 
 
+def finish_lost_loads(lake, adjustments):
+    """Publish what a failed run left staged, but for the rows it had written.
+
+    Without this, days written in part would lie below the high-water mark.
+    """
+    return sum(
+        publish(lake, staging, adjustments, skip_known=True)[0]
+        for staging in lake.tables(STAGING)
+    )
+
+
 def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
     """Append the days after the loaded ones, up to `last`; a second run adds nothing."""
     lake.create(FACT)
     lake.add_missing_columns(FACT)
-    first = high_water_mark(lake.read(FACT), history_start).head()["next_start"]
+    recovered = finish_lost_loads(lake, inputs.adjustments)
+    days = lake.partition_days(FACT)
+    first = high_water_mark(days, history_start).head()["next_start"]
     batch_id, load_timestamp = new_batch(now)
     if first > last:
-        return Outcome(first, last, 0, 0, batch_id)
-    judged = judged_facts(inputs, first, last, batch_id, load_timestamp)
-    loaded, set_aside = publish(lake, judged, batch_id, inputs.adjustments)
-    return Outcome(first, last, loaded, set_aside, batch_id)
+        return Outcome(first, last, recovered, 0, batch_id)
+    staging = STAGING + batch_id.replace("-", "_").lower()
+    stage(lake, judged_facts(inputs, first, last, batch_id, load_timestamp), staging)
+    loaded, set_aside = publish(lake, staging, inputs.adjustments)
+    return Outcome(first, last, recovered + loaded, set_aside, batch_id)

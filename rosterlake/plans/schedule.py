@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rosterlake.constants import HISTORY_START
 from rosterlake.functions.dates import is_weekend
 from rosterlake.operators.prefix_sum import add_sum_before
+from rosterlake.session import task_count
 
 
 def build_schedule(employees, assignments, horizon, history_start=HISTORY_START):
@@ -59,7 +60,7 @@ def employee_days(employees, first, last, absences, weekend_work):
     )
     nothing = F.array().cast("array<date>")
     spread = hired.join(day_lists, "emp_id", "left").repartition(
-        _task_count(employees.sparkSession), "emp_id", "_begin"
+        task_count(employees.sparkSession), "emp_id", "_begin"
     )
     weekdays = F.filter(
         F.sequence("_begin", F.greatest("_begin", end), F.expr("INTERVAL 1 DAY")),
@@ -72,12 +73,6 @@ def employee_days(employees, first, last, absences, weekend_work):
     return spread.select("emp_id", F.explode(days).alias("work_date"))
 
 
-def _task_count(spark):
-    """As many tasks as the session shuffles into, and no fewer than it has cores."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               spark.sparkContext.defaultParallelism)
-
-
 def _marks(absences, weekend_work):
     """Employee and day of both lists, told apart by two flags."""
     key = ["emp_id", "work_date"]

@@ -31,6 +31,12 @@ def build_session(app="rosterlake", **options):
     return builder.getOrCreate()
 
 
+def task_count(spark):
+    """As many tasks as the session shuffles into, and no fewer than it has cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
+
+
 def work_folder(spark):
     """A new folder below the shared one the cluster names in spark.checkpoint.dir.
 

@@ -25,23 +25,32 @@ def read_files_or_empty(spark, path, schema):
         return spark.createDataFrame([], schema)
 
 
-def lay_out_fact(facts):
-    """One shuffle by day before a partitioned write.
-
-    REBALANCE lets adaptive execution split a day that is too large for one task
-    and merge days that are too small for one; rows are then sorted by employee
-    and project, so that file statistics skip on both.
+def lay_out_fact(facts, tasks=None):
+    """One shuffle by day before a partitioned write, sorted by employee and project.
+
+    By default REBALANCE: adaptive execution splits a day that is too large for one
+    task and merges days that are too small for one. With a number of tasks, ranges
+    of day, employee, project and id instead: as even whatever the keys, with files
+    that hold few employees each, at the price of a sampling pass. That suits loads
+    of many small days, where files rather than bytes are the cost.
     """
-    return facts.hint("rebalance", F.col("work_date")).sortWithinPartitions(
-        "work_date", "emp_id", "project_id"
-    )
+    order = ["work_date", "emp_id", "project_id"]
+    if tasks is None:
+        spread = facts.hint("rebalance", F.col("work_date"))
+    else:
+        spread = facts.repartitionByRange(tasks, *order, "timesheet_id")
+    return spread.sortWithinPartitions(*order)
 
 
 class Lake:
-    """The tables of one database, each with its files below one root folder."""
+    """The tables of one database, each with its files below one root folder.
+
+    write_tasks: see lay_out_fact; used for appends to partitioned tables.
+    """
 
-    def __init__(self, spark, database, root):
+    def __init__(self, spark, database, root, write_tasks=None):
         self.spark = spark
+        self.write_tasks = write_tasks
         self.database = database
         self.root = root.rstrip("/")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}'")
@@ -83,6 +92,16 @@ class Lake:
             return self.read(table)
         return self.spark.createDataFrame([], schema or TABLES[table])
 
+    def tables(self, prefix=""):
+        listed = self.spark.catalog.listTables(self.database)
+        return sorted(t.name for t in listed if not t.isTemporary and t.name.startswith(prefix))
+
+    def partition_days(self, table):
+        """The values of the table's one date partition column, from the catalog alone."""
+        (column,) = PARTITIONING[table]
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        return listed.select(F.split("partition", "=")[1].cast("date").alias(column))
+
     def replace(self, frame: DataFrame, table, schema=None) -> int:
         """Replace all rows; returns how many were written.
 
@@ -110,6 +129,8 @@ class Lake:
             self.create(table)
         observed = Observation()
         target = self.read(table).schema
+        if table in PARTITIONING:
+            frame = lay_out_fact(frame, self.write_tasks)
         self._aligned(frame, target).observe(
             observed, F.count(F.lit(1)).alias("rows")
         ).write.insertInto(self.name(table))

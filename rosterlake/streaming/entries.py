@@ -6,7 +6,7 @@ name their project: metrics, range check, key check, one append per micro-batch.
 
 from rosterlake.operators.checks import with_reason
 from rosterlake.plans.facts import fact_metrics
-from rosterlake.plans.load import FACT, new_batch, publish
+from rosterlake.plans.load import FACT, new_batch, publish, stage
 
 
 def load_entries(lake, entries, checkpoint, trigger=None):
@@ -23,7 +23,9 @@ def load_entries(lake, entries, checkpoint, trigger=None):
     def append(rows, number):
         name = f"{batch_id}-{number}"
         facts = fact_metrics(rows.distinct(), name, load_timestamp)
-        publish(lake, with_reason(facts), name, skip_known=True)
+        staging = f"staging_stream_{name.replace('-', '_').lower()}"
+        stage(lake, with_reason(facts), staging)
+        publish(lake, staging, skip_known=True)
 
     return (
         entries.writeStream.foreachBatch(append)

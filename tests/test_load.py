@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from rosterlake.plans import load
 from rosterlake.plans.load import FACT, QUARANTINE, Inputs, load_increment
 from rosterlake.schemas import SCHEDULE
 from rosterlake.streaming.entries import load_entries
@@ -77,8 +78,7 @@ def test_out_of_range_is_set_aside(lake, inputs):
     assert rows(lake.read(QUARANTINE), "emp_id", "work_date", "reason") == [
         (1, plus(21), "hours out of range")]
     assert (1, plus(21)) not in loaded(lake, "emp_id", "work_date")
-    staging = [t.name for t in lake.spark.catalog.listTables(lake.database) if "staging" in t.name]
-    assert staging == []
+    assert lake.tables("staging") == []
 
 
 def test_duplicate_entry_loads_nothing(lake, inputs):
@@ -97,6 +97,22 @@ def test_null_in_a_required_column_loads_nothing(lake, inputs):
     assert lake.read(FACT).count() == 0
 
 
+def test_a_lost_driver_is_made_good(lake, inputs):
+    """The driver dies after it has written one day and half of another."""
+    load_increment(lake, inputs, plus(13))
+    whole = loaded(lake, "timesheet_id", "hours_worked")
+    lake.recreate(FACT)
+    lake.create(FACT)
+    judged = load.judged_facts(inputs, day("2023-01-01"), plus(13), "RUN-lost", dt.datetime(2024, 1, 31))
+    load.stage(lake, judged, load.STAGING + "run_lost")
+    part = judged.filter("reason IS NULL AND emp_id = 1").filter(F.col("work_date") <= F.lit(plus(9)))
+    lake.append(part, FACT)
+    outcome = load_increment(lake, inputs, plus(13))
+    assert loaded(lake, "timesheet_id", "hours_worked") == whole
+    assert outcome.loaded == len(whole) - part.count()
+    assert lake.tables("staging") == []
+
+
 def test_rows_lie_in_day_folders(lake, inputs):
     load_increment(lake, inputs, plus(6))
     files = lake.read(FACT).inputFiles()

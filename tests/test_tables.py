@@ -78,9 +78,12 @@ def test_all_tables_can_be_created(lake):
         assert lake.read(table).isEmpty()
 
 
-def test_fact_is_partitioned_and_pruned(spark, lake):
+@pytest.mark.parametrize("tasks", [None, 3])
+def test_fact_is_partitioned_and_pruned(spark, lake, tasks):
+    lake.write_tasks = tasks
     sheets = [sheet(f"t{i}", emp=i % 5, work=f"2024-01-{i % 28 + 1:02d}") for i in range(100)]
-    assert lake.append(lay_out_fact(spark.createDataFrame(sheets, TIMESHEETS)), "fact_timesheets") == 100
+    assert lake.append(spark.createDataFrame(sheets, TIMESHEETS), "fact_timesheets") == 100
+    assert lake.partition_days("fact_timesheets").count() == 28
     one = lake.read("fact_timesheets").filter(F.col("work_date") == F.lit(day("2024-01-05")))
     assert one.count() == 4
     text = one._jdf.queryExecution().executedPlan().toString()
@@ -88,6 +91,14 @@ def test_fact_is_partitioned_and_pruned(spark, lake):
     assert all("work_date=2024-01-05" in f for f in one.inputFiles()) or "PartitionCount: 1" in text
 
 
+def test_layout_splits_one_day(spark):
+    """All rows on one day, employee and project still spread over the tasks."""
+    sheets = spark.createDataFrame([sheet(f"t{i:04d}") for i in range(1000)], TIMESHEETS)
+    sizes = lay_out_fact(sheets, 4).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(s["count"] for s in sizes) < 600
+    assert "REBALANCE_PARTITIONS_BY_COL" in lay_out_fact(sheets)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_evolution_is_additive(spark, lake):
     added = ["created_at", "revenue_usd", "is_anomaly", "is_weekend_work"]
     old = T.StructType([f for f in TIMESHEETS.fields if f.name not in added])

@@ -211,6 +211,7 @@ class Lens:
         one = self.raw.groupBy("emp_id", "work_date").agg(first.alias("f"))
         return one.select(
             "emp_id", "work_date",
+            F.when(F.col("f.l_suppkey") % 10 != 0, F.col("f.l_suppkey") + 1).alias("project_id"),
             (F.col("f.q") * F.lit(0.25)).alias("base_hours"),
             _share(F.col("f.l_linenumber")).alias("allocation_pct"),
             (F.col("f.l_linestatus") == "F").alias("is_billable"),

@@ -333,6 +333,15 @@ ORACLES = {
                isodow(work_date) >= 6 AS is_weekend_work, entry_type = 'correction' AS is_correction,
                entry_type, original_timesheet_id
         FROM (SELECT * FROM originals UNION ALL BY NAME SELECT * FROM fixes)""",
+    "streaming_load": f"""
+        , daily AS (SELECT *, own_project AS project_id FROM wf_daily_entries),
+        m AS ({_METRICS.format(entries='daily')})
+        SELECT timesheet_id, emp_id, project_id, work_date, CAST(date_trunc('month', work_date) AS DATE) AS fx_month,
+               CAST(work_date AS TIMESTAMP) AS created_at, hours_worked, is_billable, hourly_rate_usd,
+               {_REVENUE.format(h='hours_worked')} AS revenue_usd, allocation_pct, hours_worked < 0 AS is_anomaly,
+               isodow(work_date) >= 6 AS is_weekend_work, FALSE AS is_correction, 'original' AS entry_type,
+               CAST(NULL AS STRING) AS original_timesheet_id
+        FROM m WHERE abs(hours_worked) <= 8 AND allocation_pct > 0 AND allocation_pct <= 1""",
 }
 
 

@@ -12,9 +12,10 @@ from rosterlake.plans import calendar, facts, fx, gold, load, profile, schedule,
 from rosterlake.plans import projects as project_plans
 from rosterlake.schemas import EMPLOYEES, EXCHANGE_RATES, FX_KEY, NATURAL_KEY, PROJECTS
 from rosterlake.schemas import TABLES, TIMESHEETS
-from rosterlake.session import work_folder
+from rosterlake.session import task_count, work_folder
 from rosterlake.sources import fx_documents
-from rosterlake.sources.tables import Lake, lay_out_fact, read_files
+from rosterlake.sources.tables import Lake, read_files
+from rosterlake.streaming.entries import load_entries
 from verification.lens import Lens
 
 QUERIES = {}
@@ -30,7 +31,9 @@ def query(function):
 
 
 def new_lake(spark):
-    return Lake(spark, f"rosterlake_{uuid.uuid4().hex[:12]}", work_folder(spark))
+    """An empty lake; the lens spreads its rows over thousands of small days."""
+    return Lake(spark, f"rosterlake_{uuid.uuid4().hex[:12]}", work_folder(spark),
+                write_tasks=task_count(spark))
 
 
 def wall_clock(frame):
@@ -110,14 +113,14 @@ def load_append_fact(lens):
     lake = new_lake(lens.spark)
     earlier = F.col("work_date") < F.lit(SPLIT_DAY).cast("date")
     for part in (lens.timesheets.filter(earlier), lens.timesheets.filter(~earlier)):
-        lake.append(lay_out_fact(part), "fact_timesheets")
+        lake.append(part, "fact_timesheets")
     return wall_clock(lake.read("fact_timesheets"))
 
 
 @query
 def fact_partitioned_write(lens):
     lake = new_lake(lens.spark)
-    lake.append(lay_out_fact(lens.timesheets), "fact_timesheets")
+    lake.append(lens.timesheets, "fact_timesheets")
     later = lake.read("fact_timesheets").filter(F.col("work_date") >= F.lit(SPLIT_DAY).cast("date"))
     return later.groupBy("work_date", "project_id").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -132,9 +135,9 @@ def fact_schema_evolve(lens):
     lake = new_lake(lens.spark)
     lake.create("fact_timesheets", old)
     day = F.lit(SPLIT_DAY).cast("date")
-    lake.append(lay_out_fact(lens.timesheets.filter(F.col("work_date") < day)), "fact_timesheets")
+    lake.append(lens.timesheets.filter(F.col("work_date") < day), "fact_timesheets")
     lake.add_missing_columns("fact_timesheets")
-    lake.append(lay_out_fact(lens.timesheets.filter(F.col("work_date") >= day)), "fact_timesheets")
+    lake.append(lens.timesheets.filter(F.col("work_date") >= day), "fact_timesheets")
     return wall_clock(
         lake.read("fact_timesheets", ["timesheet_id", "load_timestamp", "hours_worked", *added])
     )
@@ -175,7 +178,7 @@ def load_audit(lens):
         ("dim_employees", lake.replace(lens.employees, "dim_employees")),
         ("dim_projects", lake.replace(lens.projects, "dim_projects")),
         ("dim_exchange_rates", lake.append(lens.exchange_rates, "dim_exchange_rates")),
-        ("fact_timesheets", lake.append(lay_out_fact(lens.timesheets), "fact_timesheets")),
+        ("fact_timesheets", lake.append(lens.timesheets, "fact_timesheets")),
     ]
     return lens.spark.createDataFrame(loads, "table_name string, rows_loaded long")
 
@@ -491,3 +494,14 @@ def incremental_load(lens):
     for last in (dt.date(1998, 6, 30), dt.date(2001, 12, 31), dt.date(2001, 12, 31)):
         load.load_increment(lake, inputs, last, dt.date(1995, 1, 1))
     return wall_clock(lake.read("fact_timesheets").drop("load_timestamp", "batch_id"))
+
+
+@query
+def streaming_load(lens):
+    """The entries as files, loaded by a stream that ends when all are read."""
+    lake = new_lake(lens.spark)
+    folder = work_folder(lens.spark)
+    lens.daily_entries.write.parquet(f"{folder}/entries")
+    stream = lens.spark.readStream.schema(lens.daily_entries.schema).parquet(f"{folder}/entries")
+    load_entries(lake, stream, f"{folder}/checkpoint").awaitTermination()
+    return wall_clock(lake.read("fact_timesheets").drop("load_timestamp", "batch_id"))
