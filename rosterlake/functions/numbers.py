@@ -9,9 +9,11 @@ _MONEY = "decimal(18,2)"
 def round_half_up(column, digits):
     """Round half away from zero on the decimal value of a double.
 
-    Rounding the binary value instead depends on the engine for near-ties.
+    Rounding the binary value instead depends on the engine for near-ties. What does
+    not fit the decimal, from 1e18 on, has no decimals to round and stays as it is,
+    as do NaN and infinity.
     """
-    return F.round(column.cast(_WIDE), digits).cast("double")
+    return F.coalesce(F.round(column.try_cast(_WIDE), digits).cast("double"), column)
 
 
 def half_hours(column):

@@ -29,12 +29,12 @@ def fetched_rates(documents):
     return quoted.select(*_COLUMNS).unionByName(_base_rates(months))
 
 
-def carry_forward(fetched, bounds, currencies=FX_CURRENCIES):
+def carry_forward(fetched, bounds, currencies=FX_CURRENCIES, fill_gaps=False):
     """Fetched rates plus the last known ones for months not fetched at all.
 
-    A month that was fetched without some currency keeps that gap, and does not
-    erase the memory of the currency. Rows of an outage month whose currency was
-    never known come out with a null rate: see require_known_rates.
+    A month that was fetched without some currency keeps that gap, unless fill_gaps,
+    and does not erase the memory of the currency. Rows of an outage month whose
+    currency was never known come out with a null rate: see require_known_rates.
 
     The windows hold one currency's months, so their size is set by the calendar.
     """
@@ -49,16 +49,21 @@ def carry_forward(fetched, bounds, currencies=FX_CURRENCIES):
         .orderBy("fx_month")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = (
-        spine.join(fetched.select(*FX_KEY, "rate_to_usd"), FX_KEY, "left")
-        .withColumn("rate_to_usd", F.last("rate_to_usd", ignorenulls=True).over(so_far))
-        .filter(F.col("was_fetched").isNull())
-        .withColumn("base_currency", F.lit(BASE_CURRENCY))
-        .select(*_COLUMNS)
+    quoted = fetched.select(*FX_KEY, F.col("rate_to_usd").alias("quoted"))
+    known = spine.join(quoted, FX_KEY, "left").withColumn(
+        "rate_to_usd", F.last("quoted", ignorenulls=True).over(so_far)
     )
+    wanted = F.col("was_fetched").isNull()
+    if fill_gaps:
+        wanted = F.col("quoted").isNull() & (wanted | F.col("rate_to_usd").isNotNull())
+    filled = known.filter(wanted).withColumn("base_currency", F.lit(BASE_CURRENCY))
     outage = months.join(present, "fx_month", "left_anti")
     in_range = fetched.join(months, "fx_month", "left_semi")
-    return in_range.select(*_COLUMNS).unionByName(filled).unionByName(_base_rates(outage))
+    return (
+        in_range.select(*_COLUMNS)
+        .unionByName(filled.select(*_COLUMNS))
+        .unionByName(_base_rates(outage))
+    )
 
 
 def require_known_rates(rates):

@@ -22,7 +22,6 @@ def build_session(app="rosterlake", **options):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         **options,
     }
     builder = SparkSession.builder.appName(app)

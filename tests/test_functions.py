@@ -32,6 +32,7 @@ def test_trim_takes_all_white_space(spark, value, expected):
 
 @pytest.mark.parametrize("value, digits, expected", [
     (1.005, 2, 1.01), (2.675, 2, 2.68), (-1.005, 2, -1.01), (0.5, 0, 1.0), (1e17 / 7, 2, 14285714285714286.0),
+    (1e300, 2, 1e300), (float("inf"), 2, float("inf")), (None, 2, None),
 ])
 def test_rounding_is_half_away_from_zero(spark, value, digits, expected):
     assert one(spark, lambda c: numbers.round_half_up(c, digits), value, "double") == expected

@@ -41,6 +41,15 @@ def test_partial_month_keeps_its_gap_and_the_memory(spark):
     assert got[4, "GBP"] == 1.25 and got[4, "PKR"] == 0.005
 
 
+def test_gaps_may_be_filled_on_request(spark):
+    docs = spark.createDataFrame(
+        [(month(1), {"PKR": 250.0}), (month(2), {"PKR": 250.0, "GBP": 0.8}), (month(3), {"PKR": 200.0})], FX_DOCUMENT)
+    bounds = calendar.date_bounds(spark, month(1), month(4))
+    got = found(fx.carry_forward(fx.fetched_rates(docs), bounds, PAIR, fill_gaps=True))
+    assert (1, "GBP") not in got
+    assert got[3, "GBP"] == got[4, "GBP"] == 1.25 and got[3, "PKR"] == 0.005 and len(got) == 11
+
+
 @pytest.mark.parametrize("broken", [{"PKR": 0.0, "GBP": 0.5}, {"PKR": None, "GBP": 0.5}, None])
 def test_a_month_is_taken_whole_or_not(spark, broken):
     got = found(build(spark, {1: {"PKR": 250.0, "GBP": 0.8}, 2: broken}, 2))
