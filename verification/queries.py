@@ -18,6 +18,7 @@ from rosterlake.sources.tables import Lake, read_files
 from rosterlake.streaming.entries import load_entries
 from verification.lens import Lens
 
+OVER_LENS = {}
 QUERIES = {}
 
 BATCH = "RUN-20020101-020000-00000001"
@@ -26,6 +27,7 @@ SPLIT_DAY = "1998-07-01"
 
 
 def query(function):
+    OVER_LENS[function.__name__] = function
     QUERIES[function.__name__] = lambda spark, folder: function(Lens(spark, folder))
     return function
 
