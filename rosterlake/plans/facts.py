@@ -142,7 +142,10 @@ def apply_corrections(facts, adjustments):
 
 
 def correction_lineage(timesheets):
-    """Each correction beside its original; original_found tells broken references."""
+    """Each correction beside its original; original_found tells broken references.
+
+    timesheets: one row per id, as silver has them.
+    """
     corrections = timesheets.filter("is_correction").select(
         "timesheet_id", "original_timesheet_id", "work_date",
         F.col("hours_worked").alias("correction_hours"),

@@ -139,7 +139,10 @@ def finish_lost_loads(lake, adjustments):
 
 
 def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
-    """Append the days after the loaded ones, up to `last`; a second run adds nothing."""
+    """Append the days after the loaded ones, up to `last`; a second run adds nothing.
+
+    One load runs at a time: a staging table found at the start counts as left behind.
+    """
     lake.create(FACT)
     lake.add_missing_columns(FACT)
     recovered = finish_lost_loads(lake, inputs.adjustments)

@@ -95,10 +95,11 @@ ORACLES = {
     "silver_timesheets": "SELECT * FROM silver_timesheets",
     "silver_exchange_rates": "SELECT * FROM wf_exchange_rates",
     "gold_employees": """
-        SELECT e.*, r2(e.local_salary * fx.rate_to_usd, 2) AS salary_usd
-        FROM silver_employees e LEFT JOIN (
-          SELECT currency_code, rate_to_usd FROM wf_exchange_rates
-          WHERE fx_month = (SELECT max(fx_month) FROM wf_exchange_rates)) fx ON e.currency = fx.currency_code""",
+        , newest AS (
+          SELECT map(list(currency_code), list(rate_to_usd)) AS usd FROM wf_exchange_rates
+          GROUP BY fx_month ORDER BY fx_month DESC LIMIT 1)
+        SELECT silver_employees.*, r2(local_salary * usd[currency], 2) AS salary_usd
+        FROM silver_employees, newest""",
     "gold_timesheets_enriched": "SELECT * FROM gold_timesheets",
     "gold_totals": f"""
         SELECT {_money('revenue_usd')} AS total_revenue, {_money('bench_cost_usd')} AS total_bench_cost
