@@ -11,10 +11,12 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.test_skew import FOLDER, WRITES
+from verification.oracle import oracles
+from verification.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
