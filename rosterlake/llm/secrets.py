@@ -3,8 +3,8 @@
 The patterns are assignments to secret-like names, access keys and long hexadecimal runs.
 The method adds runs of MIN_RUN and more key characters whose log-likelihood ratio, under
 a bigram model of random strings and one of ordinary identifiers, exceeds MARGIN per
-character. Both models are trained from labelled samples: identifiers are words and
-joined pairs of words of at most SAMPLE documents, random strings are keyed digests in the alphabets of
+character. Both models are trained from labelled samples: identifiers are words,
+alone and joined, of at most SAMPLE documents without their base matches, random strings are keyed digests in the alphabets of
 hexadecimal, base 64 and capitals, as many as documents in the sample.
 
 Spans are kind:start:end in code points, end exclusive. Null text counts as empty and has
@@ -87,11 +87,14 @@ def _bigrams(run):
                        + _class_of(F.substring(run, i + 1, 1)))
 
 
-def train(docs, sample=SAMPLE, smoothing=0.5):
+def train(docs, sample=SAMPLE, smoothing=5.0):
     """Log ratio of random to ordinary for every pair of characters: CLASSES * CLASSES numbers."""
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = stored(docs.select("doc_id", "text").join(ids.distinct(), "doc_id"))
-    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z]{2,40}"), F.lit(0))
+    plain = F.coalesce("text", F.lit(""))
+    for pattern in (ASSIGN, ACCESS, HEX):
+        plain = F.regexp_replace(plain, pattern, " ")
+    found = F.regexp_extract_all(plain, F.lit("[A-Za-z][A-Za-z0-9]{1,39}"), F.lit(0))
     named = texts.select(F.posexplode(found).alias("at", "word")).groupBy("word").agg(F.count("*").alias("n"))
     ordinary = named.select(F.explode(F.array(
         "word", F.concat(F.lower("word"), F.lit("_"), F.lower("word")),
@@ -106,13 +109,15 @@ def train(docs, sample=SAMPLE, smoothing=0.5):
         "label", F.explode(_bigrams(F.col("run"))).alias("pair"))
     # At most 2 * CLASSES * CLASSES counts come to the driver, whatever the table's size.
     counts = {(r["label"], r["pair"]): r["count"] for r in pairs.groupBy("label", "pair").count().collect()}
-    ratios = []
-    for first in range(CLASSES):
-        sums = [sum(counts.get((label, first * CLASSES + c), 0) for c in range(CLASSES)) for label in (0, 1)]
-        for second in range(CLASSES):
-            p = [(counts.get((label, first * CLASSES + second), 0) + smoothing) / (sums[label] + smoothing * CLASSES)
-                 for label in (0, 1)]
-            ratios.append(math.log(p[1] / p[0]))
+    models = []
+    for label in (0, 1):
+        table_ = [[counts.get((label, a * CLASSES + b), 0) for b in range(CLASSES)] for a in range(CLASSES)]
+        alone = [0.5 + sum(row[b] for row in table_) for b in range(CLASSES)]
+        alone = [n / sum(alone) for n in alone]
+        # Rare pairs fall back on how often the second character occurs at all.
+        models.append([(row[b] + smoothing * alone[b]) / (sum(row) + smoothing)
+                       for row in table_ for b in range(CLASSES)])
+    ratios = [math.log(random_ / ordinary_) for ordinary_, random_ in zip(*models)]
     return ratios
 
 
