@@ -15,6 +15,7 @@ Null text stays null, empty text empty. Repeated rows get equal results. Other c
 import hashlib
 import hmac
 import ipaddress
+import re
 from functools import lru_cache
 
 import pandas as pd
@@ -25,16 +26,18 @@ from .common import table
 
 KEY = "replace-this-key"
 
-_ENTITY = regex.compile(
-    r"(?P<email>[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,})"
-    r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
-    r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
-    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
+_EMAIL = re.compile(r"[\w.%+\-]+@[^\W_][\w\-]*(?:\.[\w\-]+)*\.[^\W\d_]{2,}")
+_IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
+# Stretches of the characters that numbers are made of; the patterns below look only there.
+_STRETCH = re.compile(r"[+(0-9][0-9().+ \-]*")
+_NUMBER = regex.compile(
+    r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
+    r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w-])\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}(?![\w-]))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w))"
     r"|(?P<phone2>(?<![\w+])\+\d{8,14}(?!\w))"
-    r"|(?:(?P<title>\b(?:Mrs?|Ms|Dr|Mme|Frau|Herr|Señora?|Monsieur|Madame)\b\.?)\x20(?P<name>\p{Lu}[\p{L}'-]+))"
 )
+_NAME = re.compile(r"(?:Mrs?|Ms|Dr|Mme|Frau|Herr|Señora?|Monsieur|Madame)\b\.?\x20([^\W\d_][^\W\d_'\-]*[\w'\-]+)")
 
 # Given names by gender, Latin script.
 FEMALE = ("Anna", "Clara", "Emma", "Irene", "Julia", "Laura", "Marta", "Nora", "Paula", "Sofia")
@@ -135,15 +138,45 @@ def surrogate(kind, entity, key=KEY):
         return replacement
 
 
+def entities_of(text):
+    """Entities as (start, end, kind) from left to right; of overlapping ones the first, then the longest."""
+    found, at = [], text.find("@")
+    while at >= 0:
+        start = at
+        while start and not text[start - 1].isspace() and text[start - 1] != "@":
+            start -= 1
+        # Only the stretch around the sign is matched, so a text is passed over once.
+        match = next((m for m in _EMAIL.finditer(text, start) if m.end() > at), None) if start < at else None
+        if match and match.start() < at:
+            found.append((match.start(), match.end(), "email"))
+            at = match.end() - 1
+        at = text.find("@", at + 1)
+    found += [(*m.span(), "iban") for m in _IBAN.finditer(text) if not text[max(m.start() - 1, 0):m.start()].isalnum()]
+    for stretch in _STRETCH.finditer(text):
+        if stretch.end() - stretch.start() >= 7:
+            found += [(*m.span(), _kind(m))
+                      for m in _NUMBER.finditer(text, stretch.start(), min(stretch.end() + 1, len(text)))]
+    found += [(*m.span(1), "name") for m in _NAME.finditer(text)
+              if m.group(1)[0].isupper() and not text[max(m.start() - 1, 0):m.start()].isalnum()]
+    chosen, last = [], 0
+    for start, end, kind in sorted(found, key=lambda e: (e[0], -e[1], e[2])):
+        if start >= last:
+            chosen.append((start, end, kind))
+            last = end
+    return chosen
+
+
+def _kind(match):
+    return next(k for k, v in match.groupdict().items() if v is not None and k != "gap")
+
+
 def replaced(text, key=KEY):
     """The text with surrogates, and its entities as (kind, start, end, entity, surrogate)."""
     parts, found, last = [], [], 0
-    for match in _ENTITY.finditer(text):
-        kind = next(k for k, v in match.groupdict().items() if v is not None and k not in ("title", "gap"))
-        start, end = match.span(kind)
-        new = surrogate(kind, match.group(kind), key)
+    for start, end, kind in entities_of(text):
+        new = surrogate(kind, text[start:end], key)
         parts += [text[last:start], new]
-        found.append((kind.rstrip("2"), start, end, match.group(kind), new))
+        found.append((kind.rstrip("2"), start, end, text[start:end], new))
         last = end
     return "".join([*parts, text[last:]]), found
 

@@ -11,6 +11,7 @@ of the documents are kept; held_out, score and predicted are replaced.
 """
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -25,51 +26,73 @@ from .common import stored, table, words
 SAMPLE = 20000
 LEXICON = 400
 FOLDS = 5
+KNOWN = 200000  # tokens a task remembers
+SAMPLE_TASKS = 6
 
 # Second-person words of the four languages, and spellings of letters.
-SECOND_PERSON = ("you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "ihr",
-                 "euch", "tu", "te", "toi", "ton", "ta", "tes", "vous", "votre", "vos", "usted", "ti", "tus", "vosotros")
+SECOND_PERSON = frozenset(("you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "ihr",
+                 "euch", "tu", "te", "toi", "ton", "ta", "tes", "vous", "votre", "vos", "usted", "ti", "tus", "vosotros"))
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "*": ""})
 
-_TOKEN = regex.compile(r"\S+")
 _EDGE = regex.compile(r"^[^\p{L}\p{N}@$]+|[^\p{L}\p{N}]+$")
 _DISGUISED = regex.compile(r"\p{L}[0-9@$!*.\-_]+\p{L}")
-_SHOUT = regex.compile(r"[!?]{2,}|([\p{L}])\1{2,}")
-
-
-def features(text, lexicon):
-    """The dense features of one text."""
-    raw = _TOKEN.findall(text or "")
-    plain = [_EDGE.sub("", t).lower() for t in raw]
+_SHOUT = re.compile(r"[!?]{2,}|([^\W\d_])\1{2,}")
+
+
+def _reading(token, lexicon):
+    """What one token says, whatever its text: word, weight, and its counts."""
+    word = _EDGE.sub("", token).lower()
+    weight, disguised = lexicon.get(word), False
+    if weight is None and _DISGUISED.search(token):
+        disguised = True
+        folded = word.translate(LEET).replace(".", "").replace("-", "").replace("_", "")
+        weight, word = lexicon.get(folded), folded
+    letters = sum(c.isalpha() for c in token)
+    capitals = sum(c.isupper() for c in token)
+    marks = token.count("!") + token.count("?")
+    plain = weight is None and not disguised and word not in SECOND_PERSON
+    return plain, word, weight, disguised, word in SECOND_PERSON, (letters, capitals, marks, len(_SHOUT.findall(token)))
+
+
+def features(text, lexicon, known=None):
+    """The dense features of one text; `known` keeps readings of tokens between texts."""
+    text, known = text or "", {} if known is None else known
+    raw = text.split()
     n = max(len(raw), 1)
-    weights, places, second, disguised, hidden = [], [], [], 0, 0
-    seen = set()
-    for place, (token, word) in enumerate(zip(raw, plain)):
-        weight = lexicon.get(word)
-        if weight is None and _DISGUISED.search(token):
-            disguised += 1
-            folded = word.translate(LEET).replace(".", "").replace("-", "").replace("_", "")
-            weight = lexicon.get(folded)
-            word = folded
-            hidden += weight is not None
+    weights, places, second, disguised, hidden, seen = [], [], [], 0, 0, set()
+    letters = capitals = marks = shouts = 0
+    for place, token in enumerate(raw):
+        reading = known.get(token)
+        if reading is None:
+            if len(known) >= KNOWN:
+                known.clear()
+            reading = known[token] = _reading(token, lexicon)
+        plain, word, weight, changed, person, counts = reading
+        letters += counts[0]
+        capitals += counts[1]
+        marks += counts[2]
+        shouts += counts[3]
+        if plain:
+            continue
         if weight is not None:
             weights.append(weight)
             places.append(place)
             seen.add(word)
-        if word in SECOND_PERSON:
+            hidden += changed
+        disguised += changed
+        if person:
             second.append(place)
     near = 0
     if second and places:
-        at = np.array(second)
-        near = sum(int(np.abs(at - p).min() <= 5) for p in places)
-    letters = sum(c.isalpha() for c in text or "")
-    capitals = sum(c.isupper() for c in text or "")
-    marks = sum(c in "!?" for c in text or "")
-    size = max(len(text or ""), 1)
+        at, persons = np.array(places), np.array(second)
+        after = np.searchsorted(persons, at)
+        right = persons[np.minimum(after, len(persons) - 1)]
+        left = persons[np.maximum(after - 1, 0)]
+        near = int((np.minimum(np.abs(right - at), np.abs(left - at)) <= 5).sum())
     return [
         len(weights) / n, sum(weights) / n, float(len(weights)), float(sum(weights)),
         float(len(seen)), max(weights, default=0.0), near / n, float(near), len(second) / n,
-        capitals / max(letters, 1), marks / size, len(_SHOUT.findall(text or "")) / n,
+        capitals / max(letters, 1), marks / max(len(text), 1), shouts / n,
         disguised / n, hidden / n, math.log1p(len(raw)),
     ]
 
@@ -93,9 +116,10 @@ def _featured(frame, lexicon, columns):
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name in columns)
 
     def build(batches):
+        known = {}
         for batch in batches:
             out = batch[columns].copy()
-            out["features"] = [features(t, lexicon) for t in batch["text"]]
+            out["features"] = [features(t, lexicon, known) for t in batch["text"]]
             yield pd.DataFrame(out)
 
     return frame.select(*columns, "text").mapInPandas(build, f"{schema}, features array<double>").withColumn(
@@ -117,7 +141,8 @@ def train(docs, labels, sample=SAMPLE):
         return None, (counts[1] or 0) / max(counts[0], 1), None
     lexicon_rows = bounded.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) != 2)
     lexicon = learnt_lexicon(lexicon_rows)
-    featured = stored(_featured(bounded, lexicon, ["doc_id", "toxic"]))
+    # The trees take many small jobs over these few numbers, so few tasks hold them.
+    featured = stored(_featured(bounded, lexicon, ["doc_id", "toxic"]).repartition(SAMPLE_TASKS, "doc_id"))
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3))
     grown = GBTClassifier(labelCol="toxic", maxIter=20, maxDepth=3, stepSize=0.3, seed=1).fit(
         featured.where(part != 2))
@@ -138,17 +163,16 @@ def score(docs, model):
     if lexicon is None:
         scored = out.withColumn("score", F.lit(float(grown)))
     else:
-        narrow = [c for c in kept if c != "text"]
         schema = out.schema
         types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
         def build(batches):
+            known = {}
             for batch in batches:
                 batch = batch.copy()
-                batch["_features"] = [features(t, lexicon) for t in batch["text"]]
+                batch["_features"] = [features(t, lexicon, known) for t in batch["text"]]
                 yield batch
 
-        del narrow
         featured = out.mapInPandas(build, f"{types}, _features array<double>")
         if grown.getFeaturesCol() != "_vector":
             grown = grown.copy()
