@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 _WIDE = "decimal(28,10)"
-_MONEY = "decimal(18,2)"
 
 
 def round_half_up(column, digits):
@@ -26,14 +25,23 @@ def usd_per_unit(units_per_usd):
     return round_half_up(F.try_divide(F.lit(1.0), units_per_usd), 6)
 
 
+def _exact_sum(column):
+    """A decimal sum, the same whatever the order of the rows, and whether some value does not fit it."""
+    exact = column.try_cast(_WIDE)
+    return F.sum(exact), F.max(column.isNotNull() & exact.isNull())
+
+
 def money_sum(column):
-    """Sum of cents, whatever the order the rows arrive in."""
-    return F.sum(column.cast(_MONEY)).cast("double")
+    """Exact sum, rounded to cents once. NaN, infinity or a value from 1e18 on shows in a double sum."""
+    exact, unfit = _exact_sum(column)
+    return F.when(unfit, F.sum(column.cast("double"))).otherwise(F.round(exact, 2).cast("double"))
 
 
 def exact_avg(column):
-    """Average of an exact sum, so that a retry returns the same digits."""
-    return F.try_divide(F.sum(column.cast(_WIDE)).cast("double"), F.count(column).cast("double"))
+    """Average of an exact sum, so that a retry returns the same digits; as money_sum for what does not fit."""
+    exact, unfit = _exact_sum(column)
+    total = F.when(unfit, F.sum(column.cast("double"))).otherwise(exact.cast("double"))
+    return F.try_divide(total, F.count(column).cast("double"))
 
 
 def percent(part, whole):

@@ -45,4 +45,9 @@ def active_project(probes, schedule, key="emp_id", day="work_date", default=BENC
         )
         .drop("_is_probe", "_interval", "_latest")
     )
-    return answers if days_unique else probes.join(answers, [key, day])
+    if days_unique:
+        return answers
+    # a probe without a key or day finds no answer, and has no interval either
+    return probes.join(answers, [key, day], "left").withColumn(
+        "project_id", F.coalesce("project_id", F.lit(default).cast("long"))
+    )

@@ -33,7 +33,10 @@ def duplicate_members(frame, key):
     A semi-join on the counted keys instead of a window over each key, which would
     hold all copies of one key in one task.
     """
-    return frame.join(duplicate_keys(frame, key).select(*key), key, "left_semi")
+    counted = duplicate_keys(frame, key).select(*[F.col(k).alias(f"_{k}") for k in key])
+    # null keys are equal to each other here, as they are in the count
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    return frame.join(counted, same, "left_semi")
 
 
 def row_id(*columns):

@@ -57,10 +57,14 @@ def gold_timesheets_enriched(timesheets, employees, projects, rates,
     )
 
 
-def gold_from_bronze(timesheets, employees, projects, rates):
-    """The enriched fact straight from bronze, reading only the columns it needs."""
+def gold_from_bronze(timesheets, employees, projects, rates, prune_key=None):
+    """The enriched fact straight from bronze, reading only the columns it needs.
+
+    prune_key: as in silver_timesheets; ids made by the load hash the work date, so for
+    its fact "work_date" holds, and a day of gold reads a day of the fact.
+    """
     return gold_timesheets_enriched(
-        silver.silver_timesheets(timesheets, FACT_COLUMNS),
+        silver.silver_timesheets(timesheets, FACT_COLUMNS, prune_key),
         silver.silver_employees(employees),
         silver.silver_projects(projects),
         silver.silver_exchange_rates(rates),

@@ -119,7 +119,8 @@ def publish(lake, staging, adjustments=None, skip_known=False):
         raise
     if skip_known:
         facts = unseen(facts, lake.read(FACT))
-        rejected = unseen(rejected, lake.read_or_empty(QUARANTINE))
+    # days without loaded rows are looked at again, and what was set aside stays so once
+    rejected = unseen(rejected, lake.read_or_empty(QUARANTINE))
     loaded = lake.append(facts, FACT)
     set_aside = 0 if rejected.isEmpty() else lake.append(rejected, QUARANTINE)
     # not in a finally block: what a failed write leaves staged, the next run finishes

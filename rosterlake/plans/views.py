@@ -3,12 +3,15 @@
 from rosterlake.plans import gold, silver
 
 
-def register_views(employees, projects, rates, timesheets):
-    """Create or replace the six temporary views of the session."""
+def register_views(employees, projects, rates, timesheets, prune_key=None):
+    """Create or replace the six temporary views of the session.
+
+    prune_key: "work_date" for a fact made by the load lets filters on the day reach its partitions.
+    """
     views = {
         "silver_employees": silver.silver_employees(employees),
         "silver_projects": silver.silver_projects(projects),
-        "silver_timesheets": silver.silver_timesheets(timesheets),
+        "silver_timesheets": silver.silver_timesheets(timesheets, prune_key=prune_key),
         "silver_exchange_rates": silver.silver_exchange_rates(rates),
     }
     views["gold_employees"] = gold.gold_employees(
