@@ -92,7 +92,8 @@ def train(docs, sample=SAMPLE, smoothing=5.0):
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = stored(docs.select("doc_id", "text").join(ids.distinct(), "doc_id"))
     plain = F.coalesce("text", F.lit(""))
-    for pattern in (ASSIGN, ACCESS, HEX):
+    # Long runs with digits are what the models are to judge, so they carry no label.
+    for pattern in (ASSIGN, ACCESS, HEX, r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])" + RUN):
         plain = F.regexp_replace(plain, pattern, " ")
     found = F.regexp_extract_all(plain, F.lit("[A-Za-z][A-Za-z0-9]{1,39}"), F.lit(0))
     named = texts.select(F.posexplode(found).alias("at", "word")).groupBy("word").agg(F.count("*").alias("n"))
