@@ -45,17 +45,22 @@ def blocks(page):
     out, parts, links, stack = [], [], 0, []
     position, end = 0, len(page)
 
+    def inside():
+        """Whether the open elements include a bad one, an article, a main part or article, a link."""
+        return stack[-1][1:] if stack else (False, False, False, False)
+
     def close():
         nonlocal parts, links
         text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
         if text:
-            out.append((text, links, any(bad for _, bad in stack), any(t in ("article", "main") for t, _ in stack)))
+            bad, _, main, _ = inside()
+            out.append((text, links, bad, main))
         parts, links = [], 0
 
     def take(piece):
         nonlocal links
         parts.append(piece)
-        if any(t == "a" for t, _ in stack):
+        if inside()[3]:
             links += len(piece.strip())
 
     while position < end:
@@ -87,10 +92,11 @@ def blocks(page):
             if name in ("p", "li", "tr", "td") and stack and stack[-1][0] == name:
                 stack.pop()
             marks = " ".join(next(g for g in m if g is not None and g != "") if any(m) else "" for m in _NAMED.findall(attributes)).lower()
-            in_article = any(t == "article" for t, _ in stack)
-            bad = name in OUTSIDE or (name == "header" and not in_article) or (
+            outer_bad, in_article, in_main, in_link = inside()
+            bad = outer_bad or name in OUTSIDE or (name == "header" and not in_article) or (
                 name not in ("html", "body", "article", "main") and bool(MARKED.search(marks)))
-            stack.append((name, bad))
+            stack.append((name, bad, in_article or name == "article", in_main or name in ("article", "main"),
+                          in_link or name == "a"))
     close()
     return out
 
