@@ -1,73 +1,158 @@
 """Licence scans: TF-IDF cosine to licence templates, and inheritance by directory.
 
-A file's licence header is each of its lines that names a licence or a right; the line's word
-vector is compared with every template, and the best cosine of LEAST or more is
-the file's own licence. A file named like a licence file speaks for its directory. A
-file without a licence of its own takes that of the nearest ancestor directory that has one, found by
-joining its ancestor paths.
+Templates are whole licence texts (license_texts/), their notices and SPDX ids, each a word vector. A file that names a
+licence or a right is compared as a whole; each of its lines that does so is compared too, with the stretches of
+WINDOWS words around such words in it, so that a notice inside a longer line counts. The best cosine of LEAST or
+more is the file's own licence; a file whose whole text reaches WHOLE is a licence text. A file named like a licence
+file speaks for its directory. A file without a licence of its own takes that of the nearest ancestor directory that has
+one, found by joining its ancestor paths.
 
-Null texts and texts without such lines have no own licence; null paths inherit nothing. Ties go to the first template by
+Null texts and texts without such lines have no own licence; null paths inherit nothing. Ties go to the first licence by
 name. Equal paths are files of their own. Extra columns are kept; license, similarity and inherited_from are replaced.
 """
 
-from pyspark.sql import Window
+import math
+from collections import Counter
+from functools import reduce
+from operator import or_
+from pathlib import Path
+
+import regex
 from pyspark.sql import functions as F
 
-from .common import table, words
+from .common import WORD, stored, table, words
 
 LEAST = 0.6
+WHOLE = 0.9
+WINDOWS = (5, 8, 12, 18)
+
+# The names of common licences.
+NAMES = {
+    "0BSD": ("BSD Zero Clause License",),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU AGPL version 3", "AGPLv3", "AGPL v3"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache Software License 2.0"),
+    "Artistic-2.0": ("Artistic License 2.0",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "BSD-style license", "BSD License"),
+    "BSL-1.0": ("Boost Software License, Version 1.0",),
+    "CC0-1.0": ("CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal", "CC0 1.0", "CC0"),
+    "EPL-2.0": ("Eclipse Public License, Version 2.0", "Eclipse Public License v2.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU GPL version 2", "GPLv2", "GPL v2"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL version 3", "GPLv3", "GPL v3"),
+    "ISC": ("ISC License",),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU LGPL version 2.1", "LGPLv2.1", "LGPL v2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU LGPL version 3", "LGPLv3", "LGPL v3"),
+    "MIT": ("MIT License", "Expat License"),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0", "Mozilla Public License 2.0", "Mozilla Public License, Version 2.0", "MPL 2.0"),
+    "Unlicense": ("Unlicense",),
+    "Zlib": ("zlib License",),
+}
+_CREATIVE = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+             "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+             "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+for _code, _name in _CREATIVE.items():
+    for _version, _law in (("3.0", "Unported"), ("4.0", "International")):
+        NAMES[f"CC-{_code}-{_version}"] = (
+            f"CC {_code} {_version}", f"Creative Commons {_name} {_version}", f"Creative Commons {_name} {_version} {_law} License")
 
-# Headers of common licences, as their notices word them.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "CC0-1.0": "This work is dedicated to the public domain under the CC0 1.0 Universal",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+# How notices word a name or an id, and notices that name none.
+FORMS = ("{}", "Licensed under the {}", "Licensed under {}", "Released under the {}", "Distributed under the terms of the {}",
+         "This work is licensed under the {}", "This work is licensed under a {}", "License: {}")
+IDS = ("SPDX-License-Identifier: {}", "License: {}", "{} License")
+NOTICES = {
+    "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted",),
+    "CC0-1.0": ("This work is dedicated to the public domain under the CC0 1.0 Universal",),
+    "MIT": ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software",),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
+    "Unlicense": ("This is free and unencumbered software released into the public domain",),
 }
-HEADER = r"(?im)^.*(?:licen[sc]e|copyright|permission is hereby|redistribution and use|public domain|spdx).*$"
+TEXTS = Path(__file__).with_name("license_texts")
+HEADER = (r"(?im)^.*(?:licen[sc]e|copyright|permission is hereby|redistribution and use|public domain|spdx|creative commons"
+          r"|gpl|\b(?:released|distributed|available|published) under|\bcc[ -]?(?:by|0)\b).*$")
+# One of these is in every line that HEADER finds, so that most texts need no regular expression.
+HINTS = ("licen", "copyright", "permission is hereby", "redistribution and use", "public domain", "spdx", "creative commons", "gpl",
+         "released under", "distributed under", "available under", "published under", "ccby", "cc by", "cc-by", "cc0", "cc 0", "cc-0")
+# The words of HEADER, around which stretches are taken.
+ANCHORS = r"^(licen[sc]e.*|copyright|permission|redistribution|domain|spdx|commons|.?gpl.*|under|cc|cc0)$"
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)(\.[a-z]+)?$"
 
 
-def _templates(spark):
-    rows = spark.createDataFrame(sorted(TEMPLATES.items()), "license string, header string")
-    return rows.select("license", F.explode(words(F.col("header"))).alias("word"))
+def templates():
+    """License and words of every template."""
+    worded = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt"))]
+    for license, names in sorted(NAMES.items()):
+        worded += [(license, form.format(name)) for name in names for form in FORMS]
+        worded += [(license, form.format(license)) for form in IDS]
+        worded += [(license, notice) for notice in NOTICES.get(license, ())]
+    every = {(license, tuple(sorted(Counter(regex.findall(WORD, text.lower())).items()))) for license, text in worded}
+    # A single word is no notice, unless it is an id by itself.
+    return sorted((license, counts) for license, counts in every
+                  if sum(n for _, n in counts) > 1 or any("gpl" in w or w == "cc0" for w, _ in counts))
+
+
+def _weighed(spark):
+    """The templates' unit vectors as license, template, word and part; the rarity of each word; that of unknown words."""
+    every = templates()
+    holders = {}
+    for license, counts in every:
+        for word, _ in counts:
+            holders.setdefault(word, set()).add(license)
+    total = len({license for license, _ in every})
+    rarity = {word: 1 + math.log(total / len(held)) for word, held in holders.items()}
+    rows = []
+    for number, (license, counts) in enumerate(every):
+        norm = math.sqrt(sum((n * rarity[w]) ** 2 for w, n in counts))
+        rows += [(license, number, w, n * rarity[w] / norm) for w, n in counts]
+    return (spark.createDataFrame(rows, "license string, template int, word string, part double"),
+            spark.createDataFrame(sorted(rarity.items()), "word string, rarity double"), 1 + math.log(total))
+
+
+def _stretches(tokens):
+    """The tokens, and the stretches of WINDOWS words that hold an anchor, if there are more tokens."""
+    def of(size):
+        starts = F.when(F.size(tokens) > size, F.sequence(F.lit(0), F.size(tokens) - size)).otherwise(
+            F.array().cast("array<int>"))
+        near = F.filter(starts, lambda at: F.exists(F.slice(tokens, at + 1, size), lambda w: w.rlike(ANCHORS)))
+        return F.transform(near, lambda at: F.slice(tokens, at + 1, size))
+    return F.concat(F.array(tokens), *[of(size) for size in WINDOWS])
 
 
 def own_licenses(files):
-    """Best template of each header: file_key, license and similarity."""
-    spark = files.sparkSession
-    lines = files.select("file_key", F.explode(F.array_distinct(F.regexp_extract_all(
-        F.coalesce("text", F.lit("")), F.lit(HEADER), F.lit(0)))).alias("line"))
-    tokens = lines.select("file_key", "line", F.explode(words(F.substring_index("line", "\n", 1))).alias("word"))
-    counts = tokens.groupBy("file_key", F.xxhash64("line").alias("line"), "word").agg(F.count("*").alias("tf"))
-    templates = _templates(spark).groupBy("license", "word").agg(F.count("*").alias("tf"))
-    # Rarity among the templates; a word of no template weighs as the rarest. Seven rows of counts.
-    held = templates.groupBy("word").agg(F.count("*").alias("df"))
-    total = float(len(TEMPLATES))
-    weighed = templates.join(held, "word").withColumn("weight", F.col("tf") * (1 + F.log(total / F.col("df"))))
-    norms = weighed.groupBy("license").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    idf = counts.join(held, "word", "left").withColumn(
-        "weight", F.col("tf") * (1 + F.log(total / F.coalesce("df", F.lit(1)))))
-    # Long lines, such as whole texts on one line, are compared by the words of templates only.
-    known = idf.where(F.col("df").isNotNull())
-    sides = known.groupBy("file_key", "line").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("line_norm"))
-    dots = known.select("file_key", "line", "word", F.col("weight").alias("w")).join(
-        weighed.select("license", "word", "weight"), "word").groupBy("file_key", "line", "license").agg(
-        F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    scored = dots.join(sides, ["file_key", "line"]).join(norms, "license").withColumn(
-        "similarity", F.round(F.col("dot") / (F.col("line_norm") * F.col("norm")), 6)).where(F.col("similarity") >= LEAST)
+    """Best template of each file: file_key, license, similarity and alone, whether the whole text is a licence text."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), "(?i)licence", "license")
+    lines = F.array_distinct(F.regexp_extract_all(text, F.lit(HEADER), F.lit(0)))
+    hinted = files.where(F.exists(F.array(F.lower("text")), lambda t: reduce(or_, [F.contains(t, F.lit(h)) for h in HINTS])))
+    named = hinted.select("file_key", text.alias("text"), lines.alias("lines")).where(F.size("lines") > 0)
+    whole = named.select("file_key", words(F.col("text")).alias("tokens"), F.lit(True).alias("alone"))
+    line = named.select("file_key", F.explode("lines").alias("line")).select("file_key", words(F.col("line")).alias("tokens"))
+    parts = line.select("file_key", F.explode(_stretches(F.col("tokens"))).alias("tokens"), F.lit(False).alias("alone"))
+    held = stored(whole.unionByName(parts).where(F.size("tokens") > 0).withColumn(
+        "unit", F.sha2(F.array_join("tokens", " "), 256)))
+    vectors, rarity, rarest = _weighed(files.sparkSession)
+    # Equal stretches are compared once. A word of no template weighs as the rarest.
+    counts = held.groupBy("unit").agg(F.first("tokens").alias("tokens")).select(
+        "unit", F.explode("tokens").alias("word")).groupBy("unit", "word").agg(F.count("*").alias("tf"))
+    weighed = counts.join(rarity, "word", "left").withColumn("weight", F.col("tf") * F.coalesce("rarity", F.lit(rarest)))
+    norms = weighed.groupBy("unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    dots = weighed.where(F.col("rarity").isNotNull()).join(vectors, "word").groupBy("unit", "license", "template").agg(
+        F.sum(F.col("weight") * F.col("part")).alias("dot"))
+    scored = dots.join(norms, "unit").withColumn(
+        "similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= LEAST)
     best = F.min(F.struct((-F.col("similarity")).alias("far"), "license"))
-    return scored.groupBy("file_key").agg(best.alias("b")).select(
-        "file_key", F.col("b.license").alias("license"), (-F.col("b.far")).alias("similarity"))
+    found = scored.groupBy("unit").agg(best.alias("b"))
+    return held.select("file_key", "alone", "unit").join(found, "unit").groupBy("file_key").agg(
+        F.min("b").alias("b"), F.max(F.col("alone") & (F.col("b.far") <= -WHOLE)).alias("alone")).select(
+        "file_key", F.col("b.license").alias("license"), (-F.col("b.far")).alias("similarity"), "alone")
 
 
 def scan(files):
     """Adds license, similarity and inherited_from to files with file_key, path and text."""
     base = files.drop("license", "similarity", "inherited_from")
-    own = own_licenses(base)
+    return inherited(base, own_licenses(base).drop("alone"))
+
+
+def inherited(base, own):
+    """The files with their own licences, or those of their directories."""
     narrow = base.select("file_key", "path").join(own, "file_key", "left")
     parent = F.regexp_replace("path", "/?[^/]*$", "")
     speaks = narrow.where(F.col("license").isNotNull() & F.col("path").rlike(LICENSE_FILE)).select(
@@ -82,10 +167,14 @@ def scan(files):
         "inherited_from", F.when(F.col("similarity").isNull(), F.col("heir.folder"))).drop("heir")
 
 
+def document_licenses(docs):
+    """Documents as files source/lang/doc_id; one that is a licence text as a whole is source/lang/LICENSE."""
+    files = docs.select(F.col("doc_id").alias("file_key"), "doc_id", "source", "lang", "text")
+    own = stored(own_licenses(files))
+    named = files.join(own.select("file_key", "alone"), "file_key", "left").withColumn("path", F.concat_ws(
+        "/", "source", "lang", F.when(F.col("alone"), "LICENSE").otherwise(F.col("doc_id").cast("string"))))
+    return inherited(named.drop("alone"), own.drop("alone")).select("doc_id", "license", "similarity", "inherited_from")
+
+
 def op9_licenses(spark, sf_dir):
-    """Documents as files source/lang/doc_id; the first licensed document of a folder counts as its licence file."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    files = docs.withColumn("file_key", F.col("doc_id")).withColumn(
-        "path", F.concat_ws("/", "source", "lang", F.when(F.col("text").rlike(r"^[^\n]{0,400}licen[sc]e"), F.concat(
-            F.col("doc_id").cast("string"), F.lit("/LICENSE"))).otherwise(F.col("doc_id").cast("string"))))
-    return scan(files).select("doc_id", "license", "similarity", "inherited_from")
+    return document_licenses(table(spark, sf_dir, "documents"))

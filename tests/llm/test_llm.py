@@ -229,3 +229,28 @@ def test_surrogates(spark):
 def test_surrogates_stay_distinct(kind, entities):
     new = [surrogates.surrogate(kind, e, "k") for e in entities]
     assert len(set(new)) == len(entities) and not any(a == b for a, b in zip(new, entities))
+
+
+def test_license_notices(spark):
+    whole = {n: (licenses.TEXTS / f"{n}.txt").read_text() for n in ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0")}
+    filled = " ".join(prose(8, 60))
+    texts = {"Apache-2.0": ["Licensed under the Apache License, Version 2.0.", whole["Apache-2.0"]],
+             "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", whole["GPL-3.0"]],
+             "GPL-2.0": ["Distributed under GPLv2", whole["GPL-2.0"].replace("\n", " ")],
+             "MIT": ["Released under the MIT License.", "SPDX-License-Identifier: MIT", whole["MIT"],
+                     f"{filled} Released under the MIT Licence. {filled}"],
+             "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
+             None: [filled, "Sold under the Acme Licence.", "The driving license of my aunt"]}
+    rows = [(i, f"f/{i}", t, want) for i, (want, t) in enumerate((w, t) for w, ts in texts.items() for t in ts)]
+    out = licenses.scan(spark.createDataFrame(rows, "file_key bigint, path string, text string, want string")).collect()
+    assert [r["license"] for r in sorted(out)] == [r["want"] for r in sorted(out)]
+
+
+def test_documents_inherit_licenses(spark):
+    docs = spark.createDataFrame([
+        (1, "\n\n" + (licenses.TEXTS / "MIT.txt").read_text(), "s", "en"), (2, " ".join(prose(9, 40)), "s", "en"),
+        (3, f"{' '.join(prose(9, 40))}\nLicensed under CC BY-NC 4.0.", "t", "en"), (4, "plain", "t", "en"),
+        (5, "plain", "s", "de")], "doc_id bigint, text string, source string, lang string")
+    rows = {r["doc_id"]: r for r in licenses.document_licenses(docs).collect()}
+    assert [rows[i]["license"] for i in range(1, 6)] == ["MIT", "MIT", "CC-BY-NC-4.0", None, None]
+    assert [rows[i]["inherited_from"] for i in range(1, 6)] == [None, "s/en", None, None, None]
