@@ -3,7 +3,7 @@
 A path rule fits its host and subdomains if the path starts with its path; the longest
 rule wins, an allow at equal length. Where none fits, pattern rules decide: each is fetched by one literal token, the
 rarest of its tokens in the table's URLs, and only fetched rules run their regular
-expression. A match blocks; otherwise the verdict is allow.
+expression. A match blocks, and the first rule that matches is named; otherwise the verdict is allow.
 
 Null and unparsable URLs have an empty host and path, no rule, and are allowed. Repeated
 rows get equal verdicts. Other columns are kept; host, path, rule, verdict and
@@ -20,16 +20,20 @@ from .common import table
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
-# Pattern, and the literal tokens every match must hold.
+# Pattern, and the literal tokens that every URL with a match holds as whole tokens; optional forms are rules of their own.
 PATTERNS = (
-    (r"(^|[/.\-])cheap[-_]?pills?([./\-]|$)", ("cheap", "pills")),
+    (r"(^|[/.\-])cheap[-_]pill([./\-]|$)", ("cheap", "pill")),
+    (r"(^|[/.\-])cheap[-_]pills([./\-]|$)", ("cheap", "pills")),
+    (r"(^|[/.\-])cheappill([./\-]|$)", ("cheappill",)),
+    (r"(^|[/.\-])cheappills([./\-]|$)", ("cheappills",)),
     (r"(^|[/.\-])spam[-_]farm([./\-]|$)", ("spam", "farm")),
     (r"//([^/]*[.\-])?casino[.\-]", ("casino",)),
     (r"//([^/]*[.\-])?porn[.\-]", ("porn",)),
     (r"//([^/]*[.\-])?adult[.\-]", ("adult",)),
     (r"//([^/]*[.\-])?betting[.\-]", ("betting",)),
-    (r"/wp-login\.php", ("wp", "login", "php")),
-    (r"//ads?\.[^/]+/", ("ads",)),
+    (r"/wp-login\.php", ("wp", "login")),
+    (r"//ad\.[^/]+/", ("ad",)),
+    (r"//ads\.[^/]+/", ("ads",)),
 )
 
 _TOKEN = regex.compile(r"[a-z0-9]+")
@@ -64,19 +68,19 @@ def judge(urls, rules=RULES, patterns=PATTERNS):
     base = base.withColumn("rule", rule).withColumn("verdict", verdict)
     counts = token_counts(urls, patterns)
     index = {}
-    for pattern, tokens in patterns:
+    for number, (pattern, tokens) in enumerate(patterns):
         rarest = min(tokens, key=lambda t: (counts.get(t, 0), t))
-        index.setdefault(rarest, []).append(pattern)
+        index.setdefault(rarest, []).append((number, pattern))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
 
     def build(batches):
-        compiled = {t: [(p, regex.compile(p)) for p in ps] for t, ps in index.items()}
+        compiled = {t: [(n, p, regex.compile(p)) for n, p in ps] for t, ps in index.items()}
         for batch in batches:
             hits = []
             for url in batch["url"]:
                 url = (url or "").lower()
-                candidates = (c for t in sorted(set(_TOKEN.findall(url)) & compiled.keys()) for c in compiled[t])
-                hits.append(next((p for p, c in candidates if c.search(url)), None))
+                candidates = sorted((c for t in set(_TOKEN.findall(url)) & compiled.keys() for c in compiled[t]), key=lambda c: c[0])
+                hits.append(next((p for _, p, c in candidates if c.search(url)), None))
             batch["pattern"] = pd.Series(hits, dtype=object, index=batch.index)
             yield batch
 

@@ -254,3 +254,15 @@ def test_documents_inherit_licenses(spark):
     rows = {r["doc_id"]: r for r in licenses.document_licenses(docs).collect()}
     assert [rows[i]["license"] for i in range(1, 6)] == ["MIT", "MIT", "CC-BY-NC-4.0", None, None]
     assert [rows[i]["inherited_from"] for i in range(1, 6)] == [None, "s/en", None, None, None]
+
+
+def test_url_index_finds_what_the_patterns_match(spark):
+    full = [r"(^|[/.\-])cheap[-_]?pills?([./\-]|$)", r"//ads?\.[^/]+/", *(p for p, _ in url_filter.PATTERNS)]
+    pieces = ["cheappills", "cheappill", "cheap-pill", "cheap_pills", "xcheap-pill", "cheap-pillsx", "wp-login.php5", "wp-login.php",
+              "spam_farm", "casino.com", "Cheap-Pill", "plain", "ad.host/x", "ads.host/x", "bad.host/x"]
+    urls = [f"http://{p}" for p in pieces] + [f"http://host.net/{p}" for p in pieces] + [f"http://{p}.net/" for p in pieces]
+    # Rows that make other tokens the rarest.
+    for extra in ([], ["http://x.net/pill/php/cheap/wp"] * 3, ["http://x.net/pills/login"] * 3):
+        rows = url_filter.judge(spark.createDataFrame(list(enumerate(urls + extra)), "page_id bigint, url string"), rules=()).collect()
+        for row in rows:
+            assert (row["verdict"] == "block") == any(re.search(p, row["url"].lower()) for p in full), row["url"]
