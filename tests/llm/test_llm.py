@@ -266,3 +266,30 @@ def test_url_index_finds_what_the_patterns_match(spark):
         rows = url_filter.judge(spark.createDataFrame(list(enumerate(urls + extra)), "page_id bigint, url string"), rules=()).collect()
         for row in rows:
             assert (row["verdict"] == "block") == any(re.search(p, row["url"].lower()) for p in full), row["url"]
+
+
+@pytest.mark.parametrize("text,kind,entity", [
+    ("Frau Anna Meier kam", "name", "Anna Meier"), ("Mr. John Smith, who", "name", "John Smith"), ("Herr Dr. von Berg", "name", "von Berg"),
+    ("Señora Inés de la Cruz dijo", "name", "Inés de la Cruz"), ("Mme Élodie", "name", "Élodie"),
+    ("tel 06 12 34 56 78.", "phone", "06 12 34 56 78"), ("tel +33 6 12 34 56 78 2024", "phone", "+33 6 12 34 56 78"),
+    ("tel 030 1234567", "phone", "030 1234567"), ("tel +49 30 1234567,", "phone", "+49 30 1234567"), ("0171/1234567", "phone", "0171/1234567"),
+    ("(030) 123 45 67", "phone", "(030) 123 45 67"), ("tel 612 34 56 78", "phone", "612 34 56 78"),
+    ("tel +39 06 1234 5678 x", "phone", "+39 06 1234 5678"), ("+1 (743) 555-3824", "phone", "+1 (743) 555-3824"),
+    ("at 010.0.0.1 now", "ip", "010.0.0.1"), ("用户@例子.中国", "email", "用户@例子.中国")])
+def test_entities_are_whole(text, kind, entity):
+    new, found = surrogates.replaced(text, "k")
+    assert [(f[0], f[3]) for f in found] == [(kind, entity)]
+    assert not any(w in new.split() for w in entity.split() if len(w) > 4 and kind != "email") and entity not in new
+
+
+def test_no_phone_in_dates():
+    assert surrogates.entities_of("01.02.2024 and 2024-01-02, 12 34 56, 3.14159 26535") == []
+
+
+def test_surrogate_loops_end(spark):
+    accented = surrogates.surrogate("name", "éàü", "k")
+    assert all(a != b and b.isalpha() and not b.isascii() for a, b in zip("é", accented))
+    assert surrogates.surrogate("name", "--", "k") != "--"
+    docs = documents(spark, ["010.0.0.1", "10.0.0.1", "用户@例子.中国"])
+    rows = surrogates.distinct_surrogates(docs).orderBy("doc_id").collect()
+    assert rows[0]["text"] == rows[1]["text"] != "10.0.0.1" and rows[2]["text"] != "用户@例子.中国"
