@@ -2,8 +2,9 @@
 
 The first pass classifies blocks by length, link density and stop-word density: long
 blocks with stop words are good, blocks of links bad, short ones undecided. In the second,
-undecided blocks take the label of their nearest decided neighbours, with preference for good on a tie
-inside the article. Blocks in menus, headers, footers, sidebars, forms, notices, adverts and
+undecided blocks take the label of the decided neighbour fewest blocks away, good on a tie; inside the article one good
+neighbour is enough. An unclosed head ends at the first body element, another unclosed element without text at its parent's end, or
+before the next block where the parent is an article or the page. Blocks in menus, headers, footers, sidebars, forms, notices, adverts and
 comments of readers are bad whatever they hold, by element or by class and id words.
 
 Null and empty pages have no text. Repeated rows get equal texts. Stop words are the
@@ -12,6 +13,7 @@ are replaced.
 """
 
 import html as entities
+from bisect import bisect_left
 
 import pandas as pd
 import regex
@@ -35,11 +37,49 @@ MARKED = regex.compile(
     r"consent|notice|popup|modal|newsletter|subscribe|share|social|related|comments?|replies|disqus|widget)($|[\s_\-])")
 
 _TAG = regex.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", regex.S)
+_SILENT_ENDS = {name: regex.compile(rf"</{name}\b[^>]*>", regex.I) for name in SILENT}
+_HEAD_NAMES = "title|script|style|noscript|template"
+_HEAD = regex.compile(
+    rf"(?:[^<]++|<!--.*?-->|<[!?][^>]*>|<({_HEAD_NAMES})\b[^>]*>.*?</\1\s*>|</?(?:base|link|meta|basefont|bgsound)\b[^>]*>)*+", regex.S | regex.I)
+_HEAD_END = regex.compile(rf"</head\b[^>]*>|<(?!(?:{_HEAD_NAMES}|base|link|meta|basefont|bgsound)\b)[a-z]", regex.S | regex.I)
+# Elements that may leave out their end tags; elements whose content is no markup; elements that hold a whole page's text.
+OPEN_ENDED = {"p", "li", "tr", "td", "th", "dt", "dd"}
+RAW = {"script", "style", "textarea", "iframe"}
+WIDE = {None, "html", "body", "main", "article", "section"}
 _NAMED = regex.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", regex.I)
 _WORDS = regex.compile(r"\p{L}+")
 _SPACE = regex.compile(r"\s+")
 
 
+def _silent_end(page, position, name, parent):
+    """Where a silent element ends: after its end tag, or at its parent's end if that comes first."""
+    finish = _SILENT_ENDS[name].search(page, position)
+    if name == "head":
+        start = _HEAD.match(page, position).end()
+        limit = _HEAD_END.search(page, start)
+        if limit:
+            return limit.end() if limit.group().startswith("</") else limit.start()
+        return finish.end() if finish else position
+    if finish and name in RAW:
+        return finish.end()
+    depth = 0
+    for tag in _TAG.finditer(page, position, finish.start() if finish else len(page)):
+        closing, inner = tag.group(1), (tag.group(2) or "").lower()
+        if not finish and not closing and inner in BLOCKS and not depth and (
+                name == "svg" or parent in WIDE or parent == "p" or (inner == parent and inner in OPEN_ENDED)):
+            return tag.start()
+        if inner in VOID or tag.group(3) and tag.group(3).endswith("/") or not (
+                inner == parent or inner in BLOCKS and inner not in OPEN_ENDED):
+            continue
+        if not closing:
+            depth += 1
+        elif depth:
+            depth -= 1
+        else:
+            return tag.start()
+    return finish.end() if finish else len(page)
+
+
 def blocks(page):
     """Blocks of a page in order: text, characters in links, whether it lies in an outside element, in a heading."""
     out, parts, links, stack = [], [], 0, []
@@ -77,8 +117,8 @@ def blocks(page):
         if name in SILENT and not closing:
             if name in BLOCKS:
                 close()
-            finish = regex.compile(rf"</{name}\b[^>]*>", regex.I).search(page, position)
-            position = finish.end() if finish and not attributes.endswith("/") else (position if attributes.endswith("/") else end)
+            if not attributes.endswith("/"):
+                position = _silent_end(page, position, name, stack[-1][0] if stack else None)
             continue
         if name in BLOCKS and name != "br":
             close()
@@ -119,18 +159,17 @@ def main_text(page, stop_words):
     final = []
     for i, label in enumerate(labels):
         if label == "short":
-            before = max((d for d in decided if d < i), default=None) if len(decided) < 50 else _nearest(decided, i, -1)
-            after = min((d for d in decided if d > i), default=None) if len(decided) < 50 else _nearest(decided, i, 1)
-            near = [labels[d] for d in (before, after) if d is not None]
+            sides = [d for d in (_nearest(decided, i, -1), _nearest(decided, i, 1)) if d is not None]
+            least = min((abs(d - i) for d in sides), default=0)
+            near = [labels[d] for d in sides]
             inside = found[i][3]
             label = "good" if (inside and ("bad" not in near or "good" in near)) or (
-                not inside and near and all(n == "good" for n in near)) else "bad"
+                not inside and any(labels[d] == "good" and abs(d - i) == least for d in sides)) else "bad"
         final.append(label)
     return "\n".join(b[0] for b, label in zip(found, final) if label == "good")
 
 
 def _nearest(decided, i, side):
-    from bisect import bisect_left
     at = bisect_left(decided, i)
     if side < 0:
         return decided[at - 1] if at else None

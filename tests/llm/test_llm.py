@@ -293,3 +293,22 @@ def test_surrogate_loops_end(spark):
     docs = documents(spark, ["010.0.0.1", "10.0.0.1", "用户@例子.中国"])
     rows = surrogates.distinct_surrogates(docs).orderBy("doc_id").collect()
     assert rows[0]["text"] == rows[1]["text"] != "10.0.0.1" and rows[2]["text"] != "用户@例子.中国"
+
+
+LONG_TEXT = "The words of the article and the story of the day run on for a good while here."
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<nav><a href='/'>Home</a></nav><h1>Title</h1><p>L</p><p>L</p><p>Short end.</p><footer>us</footer>", "Title|L|L|Short end."),
+    ("<nav><a href='/'>Home</a></nav><p>Menu end</p><p>Far</p><p>Near</p><p>L</p>", "Far|Near|L"),
+    ("<html><head><title>T</title><meta charset=x><script>'<p>'</script><body><p>L</p></body>", "L"),
+    ("<html><head><title>T</title><article><p>L</p></article>", "L"),
+    ("<head><title>T</title>stray<style>p{}</style></head><body><p>L</p>", "L"),
+    ("<body><div><svg><path d='1'></div><p>L</p><div><svg></svg></div><p>L</p>", "L|L"),
+    ("<body><noscript>off<p>L</p><object data=x><p>L</p></body>", "L|L"),
+    ("<article><p>L</p><div><noscript><p>off</p></div><p>L</p></article>", "L|L"),
+    ("<article><p>L</p><script>x='</article>'</script><noscript><div><p>off</p></div></noscript><p>L</p></article>", "L|L")])
+def test_html_text_without_article_or_end_tags(page, want):
+    stop_words = {"the", "of", "and", "a", "for"}
+    assert html_text.main_text(page.replace("L<", LONG_TEXT + "<"), stop_words).split("\n") == [
+        LONG_TEXT if w == "L" else w for w in want.split("|")]
