@@ -3,10 +3,12 @@
 The patterns are assignments to secret-like names, access keys and long hexadecimal runs.
 The method adds runs of MIN_RUN and more key characters whose log-likelihood ratio, under
 a bigram model of random strings and one of ordinary identifiers, exceeds MARGIN per
-character. Both models are trained from labelled samples: identifiers are words,
-alone and joined, of at most SAMPLE documents without their base matches, random strings are keyed digests in the alphabets of
+character; of a run that does not, its pieces between / and =, then between all signs, are judged likewise. Both models are trained from labelled samples: identifiers are words,
+alone and joined, of at most SAMPLE documents without their base matches, and rulers, random strings are keyed digests in the alphabets of
 hexadecimal, base 64 and capitals, as many as documents in the sample.
 
+The ratio alone decides, so random runs of letters or of digits only, such as card numbers, are reported too.
+
 Spans are kind:start:end in code points, end exclusive. Null text counts as empty and has
 no spans. Repeated rows get equal results; an empty table trains on digests alone. Columns named like
 outputs are replaced.
@@ -30,6 +32,8 @@ ASSIGN = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 RUN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
+# Runs, and their pieces between the signs of paths and assignments and between all signs.
+PIECES = (RUN, r"[A-Za-z0-9+_-]{%d,}" % MIN_RUN, r"[A-Za-z0-9]{%d,}" % MIN_RUN)
 KINDS = ("assign", "access", "hex", "markov")
 CLASSES = 67  # 26 + 26 + 10 characters, the signs + / _ = -
 
@@ -92,8 +96,8 @@ def train(docs, sample=SAMPLE, smoothing=5.0):
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = stored(docs.select("doc_id", "text").join(ids.distinct(), "doc_id"))
     plain = F.coalesce("text", F.lit(""))
-    # Long runs with digits are what the models are to judge, so they carry no label.
-    for pattern in (ASSIGN, ACCESS, HEX, r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])" + RUN):
+    # Long runs with digits and long words are what the models are to judge, so they carry no label.
+    for pattern in (ASSIGN, ACCESS, HEX, r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])" + RUN, PIECES[2]):
         plain = F.regexp_replace(plain, pattern, " ")
     found = F.regexp_extract_all(plain, F.lit("[A-Za-z][A-Za-z0-9]{1,39}"), F.lit(0))
     named = texts.select(F.posexplode(found).alias("at", "word")).groupBy("word").agg(F.count("*").alias("n"))
@@ -106,7 +110,9 @@ def train(docs, sample=SAMPLE, smoothing=5.0):
     random = spark.range(sample).select(F.explode(F.array(
         digest, F.regexp_replace(F.base64(F.unhex(digest)), "=", ""), F.upper(F.regexp_replace(F.base64(F.unhex(digest)), "[+/=]", "")),
         F.translate(F.base64(F.unhex(digest)), "+/=", "-_"))).alias("run"), F.lit(1).alias("label"))
-    pairs = ordinary.unionByName(random).where(F.length("run") >= 2).select(
+    # Rulers are ordinary: signs repeated.
+    rulers = spark.createDataFrame([(sign * 40, 0) for sign in "+/_=-"] * 200, "run string, label int")
+    pairs = ordinary.unionByName(random).unionByName(rulers).where(F.length("run") >= 2).select(
         "label", F.explode(_bigrams(F.col("run"))).alias("pair"))
     # At most 2 * CLASSES * CLASSES counts come to the driver, whatever the table's size.
     counts = {(r["label"], r["pair"]): r["count"] for r in pairs.groupBy("label", "pair").count().collect()}
@@ -129,13 +135,21 @@ def find_secrets(docs, ratios, margin=MARGIN):
 
     def random(run):
         total = F.aggregate(_bigrams(run), F.lit(0.0), lambda a, p: a + F.get(model, p))
-        return (total / F.length(run) > margin) & run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+        return total / F.length(run) > margin
 
     value = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6
     every = F.lit(True)
+    # A piece counts where no longer stretch around it does.
+    runs, parts, words = (_spans(text, pattern, "markov", random) for pattern in PIECES)
+
+    def beside(inner, outer):
+        return F.filter(inner, lambda s: ~F.exists(outer, lambda o: (o["start"] <= s["start"]) & (s["end"] <= o["end"])))
+
+    markov = _let(F.struct(runs.alias("a"), parts.alias("b"), words.alias("c")), lambda f: _let(
+        F.concat(f["a"], beside(f["b"], f["a"])), lambda wide: F.concat(wide, beside(f["c"], wide))))
     return docs.withColumn("found", F.array_sort(F.concat(
         _spans(text, ASSIGN, "assign", value), _spans(text, ACCESS, "access", lambda m: every),
-        _spans(text, HEX, "hex", lambda m: every), _spans(text, RUN, "markov", random))))
+        _spans(text, HEX, "hex", lambda m: every), markov)))
 
 
 def _listed(spans):

@@ -312,3 +312,13 @@ def test_html_text_without_article_or_end_tags(page, want):
     stop_words = {"the", "of", "and", "a", "for"}
     assert html_text.main_text(page.replace("L<", LONG_TEXT + "<"), stop_words).split("\n") == [
         LONG_TEXT if w == "L" else w for w in want.split("|")]
+
+
+def test_secrets_of_letters_and_in_longer_runs(spark):
+    path = "/customers/orders/invoices/payments/settings/accounts/products/statements" * 6
+    texts = [" ".join(path.split("/")) * 20, "use qZrWvTbnMpLkJhGf now", f"{path}/uR7xQp29LkZt81WmNc3Vb", f"{path}=uR7x-Qp29Lk_Zt81WmNc3Vb",
+             path, "=" * 40 + " " + "-" * 40, "_" * 16]
+    docs = documents(spark, texts)
+    found = secrets.find_secrets(docs, secrets.train(docs, sample=500)).orderBy("doc_id").collect()
+    assert [[s["match"] for s in r["found"]] for r in found] == [
+        [], ["qZrWvTbnMpLkJhGf"], ["uR7xQp29LkZt81WmNc3Vb"], ["uR7x-Qp29Lk_Zt81WmNc3Vb"], [], [], []]
