@@ -1,6 +1,6 @@
 """One query per operator, and the SQL of those that SQL can express."""
 
-from . import (decontamination, html_text, licenses, mixing, near_duplicates, secrets, surrogates, topk_search,
+from . import (decontamination, filter_audit, html_text, licenses, mixing, near_duplicates, secrets, surrogates, topk_search,
                toxicity, url_filter)
 
 QUERIES = {
@@ -14,5 +14,7 @@ QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
     "op9_licenses": licenses.op9_licenses,
     "op10_surrogates": surrogates.op10_surrogates,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
-ORACLES = {"op5_mixing": mixing.ORACLE, "op8_topk_search": topk_search.ORACLE}
+ORACLES = {"op5_mixing": mixing.ORACLE, "op8_topk_search": topk_search.ORACLE,
+           "op11_filter_audit": filter_audit.ORACLE}
