@@ -1,7 +1,7 @@
 """One query per operator, and the SQL of those that SQL can express."""
 
-from . import (decontamination, filter_audit, html_text, licenses, mixing, near_duplicates, secrets, surrogates, token_alignment,
-               topk_search, toxicity, url_filter)
+from . import (decontamination, filter_audit, html_text, licenses, mixing, near_duplicates, secrets, substring_dedup, surrogates,
+               token_alignment, topk_search, toxicity, url_filter)
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_surrogates": surrogates.op10_surrogates,
     "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 ORACLES = {"op5_mixing": mixing.ORACLE, "op8_topk_search": topk_search.ORACLE,
            "op11_filter_audit": filter_audit.ORACLE}
