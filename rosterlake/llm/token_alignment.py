@@ -7,9 +7,9 @@ groups; the product of the token-group incidences has an entry for each pair in
 Both are multiplied row by row over matrices in compressed rows, in pieces of about a megabyte
 of text that end where a group ends, so that memory does not grow with a text.
 
-Pairs of ids are counted over the whole corpus. Texts are encoded once, in blocks: a block's tokens
-stay in the shared folder together with its own pair counts, which are added up by pair, and
-each block gets back the totals of its own pairs only. No table of all pairs goes to one place.
+Pairs of ids are counted over the whole corpus. Texts are encoded once, in blocks: a block's links, each
+naming a pair, stay in the shared folder together with its own pair counts, which are added up by pair,
+and each block gets back the totals of its own pairs only. No table of all pairs goes to one place.
 
 Texts that are null or empty, or whose joined token bytes differ from a space and the text, have no tokens: their
 counts are zero and the digest is ''. Rows are judged one by one, so repeated ids and rows stay apart.
@@ -42,9 +42,9 @@ LONG_TEXT = 200_000
 # How the byte-level vocabulary cuts text into words before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-ENCODED = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_shared long, "
-           "groups_sha256 string, ends_a binary, b binary, pairs array<long>, counts array<long>")
-RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_shared long, n_best long, "
+ENCODED = ("block long, doc_id string, n_a long, n_b long, n_groups long, n_links long, n_shared long, "
+           "groups_sha256 string, links binary, pairs array<long>, counts array<long>")
+RESULT = ("doc_id string, n_a long, n_b long, n_groups long, n_links long, n_shared long, n_best long, "
           "count_sum long, groups_sha256 string")
 ENCODED_NAMES, RESULT_NAMES = ([c.split()[0] for c in names.split(", ")] for names in (ENCODED, RESULT))
 
@@ -105,20 +105,6 @@ class Pair:
                 return a, np.array(b, dtype=np.int64)
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-    def packed(self, a, b):
-        """A mask of the ends of the first kind, and the ids of the second, compressed."""
-        ends = np.zeros(int(self.lengths_a[a].sum()), dtype=np.uint8)
-        ends[np.cumsum(self.lengths_a[a]) - 1] = 1
-        return zlib.compress(np.packbits(ends).tobytes(), 1), zlib.compress(b.astype("<u4" if len(
-            self.bytes_b) > 1 << 16 else "<u2").tobytes(), 1)
-
-    def unpacked(self, ends, ids):
-        b = np.frombuffer(zlib.decompress(ids), dtype="<u4" if len(self.bytes_b) > 1 << 16 else "<u2")
-        raw = b"".join(map(self.bytes_b.__getitem__, b.tolist()))
-        cuts = (np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(ends), dtype=np.uint8))) + 1).tolist()
-        a = [self.id_of[raw[s:e]] for s, e in zip([0, *cuts], cuts)]
-        return np.array(a, dtype=np.int64), b.astype(np.int64)
-
 
 @lru_cache(maxsize=2)
 def _loaded(files):
@@ -200,93 +186,84 @@ def _runs(sizes, most):
         yield first, len(sizes)
 
 
-def _rows(n, **values):
+def _rows(frame, **values):
     """Rows of the encoded table; columns not given are null."""
-    return pd.DataFrame({c: values.get(c) for c in ENCODED_NAMES}, index=range(n))
+    return pd.DataFrame({c: values.get(c, frame.get(c)) for c in ENCODED_NAMES}, index=frame.index)
 
 
 class _Block:
-    """Pair counts of a block so far."""
-
-    def __init__(self):
-        self.links, self.keys, self.counts = 0, [], []
-
-    def add(self, keys):
-        keys, counts = np.unique(keys, return_counts=True)
-        self.keys.append(keys)
-        self.counts.append(counts)
-        self.links += int(counts.sum())
-
-    def summed(self):
-        keys = np.concatenate(self.keys)
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[heads], np.add.reduceat(np.concatenate(self.counts)[order], heads)
+    """A block's documents and pairs so far. Links name their pair by its place in the sorted list of the block's."""
+
+    def __init__(self, number):
+        self.number, self.links, self.parts = number, 0, []
+
+    def add(self, rows, keys):
+        """rows: a frame of documents; keys: the pairs of their links, document after document."""
+        codes, pairs = pd.factorize(keys)
+        self.parts.append((rows, codes, pairs, np.bincount(codes, minlength=len(pairs))))
+        self.links += len(codes)
+
+    def rows(self):
+        """Frames of the block's documents, then of its pair counts."""
+        pairs = np.unique(np.concatenate([p for _, _, p, _ in self.parts])) if self.parts else []
+        counts = np.zeros(len(pairs), dtype=np.int64)
+        kind = "<u2" if len(pairs) <= 1 << 16 else "<u4"
+        for rows, codes, own, n in self.parts:
+            place = np.searchsorted(pairs, own)
+            counts[place] += n
+            named = place.astype(kind)[codes]
+            cuts = np.cumsum(rows["n_links"].to_numpy())
+            links = [zlib.compress(named[s:e].tobytes(), 1) for s, e in zip([0, *cuts.tolist()], cuts.tolist())]
+            yield _rows(rows, block=self.number, links=links)
+        for at in range(0, len(pairs), PAIRS_A_ROW):
+            yield _rows(pd.DataFrame({"block": [self.number]}), pairs=[pairs[at:at + PAIRS_A_ROW]],
+                        counts=[counts[at:at + PAIRS_A_ROW]])
 
 
 def _encode(files):
     def run(batches):
         pair = _loaded(files.value)
         width = len(pair.bytes_b)
-        number, block = TaskContext.get().partitionId() << 32, _Block()
-
-        def flush():
-            if block.links:
-                keys, counts = block.summed()
-                for at in range(0, len(keys), PAIRS_A_ROW):
-                    yield _rows(1, block=number, pairs=[keys[at:at + PAIRS_A_ROW]],
-                                counts=[counts[at:at + PAIRS_A_ROW]])
-
+        block = _Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for first, last in _runs([len(t or "") for t in batch["text"]], PIECE_BYTES):
                 part = batch.iloc[first:last]
                 texts = [pair.encode(t) for t in part["text"]]
                 n = len(texts)
                 aligned = Aligned(pair, texts)
-                n_links, n_shared = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+                n_links, n_shared, keys = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), []
                 for row, column, _ in aligned.overlap_links():
                     n_links += np.bincount(aligned.text_a[row], minlength=n)
-                    block.add(aligned.a[row] * width + aligned.b[column])
+                    keys.append(aligned.a[row] * width + aligned.b[column])
                 for row, _, _ in aligned.group_links():
                     n_shared += np.bincount(aligned.text_a[row], minlength=n)
-                packed = [pair.packed(a, b) for a, b in texts]
-                yield _rows(
-                    n, block=number, doc_id=part["doc_id"].to_numpy(), n_a=[len(a) for a, _ in texts],
-                    n_b=[len(b) for _, b in texts], n_groups=np.bincount(aligned.text_a[aligned.last_a], minlength=n),
-                    n_links=n_links, n_shared=n_shared, groups_sha256=aligned.digests(pair, n),
-                    ends_a=[p[0] for p in packed], b=[p[1] for p in packed])
+                block.add(pd.DataFrame({
+                    "doc_id": part["doc_id"].to_numpy(), "n_a": [len(a) for a, _ in texts],
+                    "n_b": [len(b) for _, b in texts],
+                    "n_groups": np.bincount(aligned.text_a[aligned.last_a], minlength=n), "n_links": n_links,
+                    "n_shared": n_shared, "groups_sha256": aligned.digests(pair, n),
+                }), np.concatenate([np.zeros(0, dtype=np.int64), *keys]))
                 if block.links >= BLOCK_LINKS:
-                    yield from flush()
-                    number, block = number + 1, _Block()
-        yield from flush()
+                    yield from block.rows()
+                    block = _Block(block.number + 1)
+        yield from block.rows()
     return run
 
 
-def _totals(files):
-    def run(key, docs, totals):
-        pair = _loaded(files.value)
-        width = len(pair.bytes_b)
-        totals = totals.drop_duplicates("pair").sort_values("pair")
-        keys, total, best = (totals[c].to_numpy() for c in ("pair", "total", "best"))
-        n_best, count_sum = np.zeros(len(docs), dtype=np.int64), np.zeros(len(docs), dtype=np.int64)
-        for first, last in _runs(docs["n_links"].tolist(), PIECE_BYTES):
-            part = docs.iloc[first:last]
-            texts = [pair.unpacked(e, b) for e, b in zip(part["ends_a"], part["b"])]
-            aligned = Aligned(pair, texts)
-            for row, column, _ in aligned.overlap_links():
-                at = np.searchsorted(keys, aligned.a[row] * width + aligned.b[column])
-                text = first + aligned.text_a[row]
-                np.add.at(n_best, text, best[at])
-                np.add.at(count_sum, text, total[at])
-        return docs.assign(n_best=n_best, count_sum=count_sum)[RESULT_NAMES]
-    return run
+def _totals(key, docs, totals):
+    """Sums over each document's links of what the corpus says of their pairs."""
+    totals = totals.sort_values("pair")
+    total, best = totals["total"].to_numpy(), totals["best"].to_numpy()
+    kind = "<u2" if len(totals) <= 1 << 16 else "<u4"
+    named = [np.frombuffer(zlib.decompress(links), dtype=kind) for links in docs["links"]]
+    return docs.assign(n_best=[int(best[n].sum()) for n in named],
+                       count_sum=[int(total[n].sum()) for n in named])[RESULT_NAMES]
 
 
 def encode(docs, files):
-    """Documents with their tokens, and rows of the pair counts of each block of documents; stored."""
+    """Documents with their links, and rows of the pair counts of each block of documents; stored."""
     held = docs.sparkSession.sparkContext.broadcast(files)
-    return stored(docs.select("doc_id", "text").mapInPandas(_encode(held), ENCODED))
+    return stored(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_encode(held), ENCODED))
 
 
 def pair_totals(encoded, files):
@@ -305,13 +282,12 @@ def pair_totals(encoded, files):
 def align(docs, files):
     """One row per document with its counts, digest and corpus-wide sums."""
     encoded = encode(docs, files)
-    held = docs.sparkSession.sparkContext.broadcast(files)
     tokens = encoded.where("pairs IS NULL").drop("pairs", "counts")
     zero = F.lit(0).cast("long")
     without = tokens.where("n_a = 0").withColumns({"n_best": zero, "count_sum": zero}).select(*RESULT_NAMES)
     found = tokens.where("n_a > 0").groupBy("block").cogroup(
-        pair_totals(encoded, files).groupBy("of_block")).applyInPandas(_totals(held), RESULT)
-    return found.unionByName(without)
+        pair_totals(encoded, files).groupBy("of_block")).applyInPandas(_totals, RESULT)
+    return found.unionByName(without).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def links(docs, files, kind="overlap"):
@@ -328,8 +304,9 @@ def links(docs, files, kind="overlap"):
                     yield pd.DataFrame({"doc_id": doc_id, "place_a": row, "place_b": column,
                                         "id_a": aligned.a[row], "id_b": aligned.b[column], "shared": shared})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, place_a long, place_b long, id_a long, id_b long, shared long")
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(
+        run, "doc_id string, place_a long, place_b long, id_a long, id_b long, shared long").withColumn(
+            "doc_id", F.col("doc_id").cast("long"))
 
 
 def op12_token_alignment(spark, sf_dir):

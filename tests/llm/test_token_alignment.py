@@ -87,14 +87,6 @@ def plainly_with_null(docs):
     return [(None if i == -1 else i, *rest) for i, *rest in plainly([(-1 if i is None else i, t) for i, t in docs])]
 
 
-def test_packed_tokens_come_back():
-    pair = token_alignment.Pair(*token_alignment.read_files())
-    for _, text in fixture():
-        a, b = pair.encode(text)
-        again = pair.unpacked(*pair.packed(a, b))
-        assert (again[0] == a).all() and (again[1] == b).all()
-
-
 def test_links_as_rows(spark):
     docs = spark.createDataFrame([(0, "Größe naïve"), (1, None)], "doc_id long, text string")
     files = token_alignment.read_files()
