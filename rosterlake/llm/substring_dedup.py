@@ -306,6 +306,24 @@ def _merged(starts, window=WINDOW):
     return starts[new].tolist(), ends.tolist()
 
 
+def _left(words, found, low, high, start):
+    """128-bit hashes and starts of the windows that were not found, of those with an anchor from low to high.
+
+    The other windows at a stretch's ends have anchors of another stretch, which holds them as well.
+    """
+    if len(found) >= len(words) // 8 - WINDOW + 1:
+        return []
+    query = np.frombuffer(words, dtype=">u8").astype(np.uint64)
+    where, _ = anchors(query)
+    missing = (where >= low) & (where <= high)
+    missing[found] = False
+    missing = np.flatnonzero(missing)
+    if not len(missing):
+        return []
+    one, two = (rolled(query, WINDOW, base).view(np.int64)[missing] for base in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+    return list(zip(one.tolist(), two.tolist(), (missing + start).tolist()))
+
+
 def _parsed(batches):
     held, reference = None, None
     for batch in batches:
@@ -316,14 +334,8 @@ def _parsed(batches):
             if block is not held and block != held:
                 held, reference = block, Reference(block)
             found = parse(reference, words, start - block_start if row == block_row else None)
-            query = np.frombuffer(words, dtype=">u8").astype(np.uint64)
-            where, _ = anchors(query)
-            # Windows at the ends have anchors of another stretch, which holds those windows as well.
-            left = np.setdiff1d(np.flatnonzero((where >= low) & (where <= high)), found)
-            one, two = rolled(query, WINDOW, 0xD6E8FEB86659FD93), rolled(query, WINDOW, 0xA0761D6478BD642F)
             starts, ends = _merged(found + start)
-            out.append((row, turn, starts, ends, list(zip(
-                one.view(np.int64)[left].tolist(), two.view(np.int64)[left].tolist(), (left + start).tolist()))))
+            out.append((row, turn, starts, ends, _left(words, found, low, high, start)))
         yield pd.DataFrame(out, columns=["row", "turn", "starts", "ends", "left"])
 
 
