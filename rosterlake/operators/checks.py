@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.constants import EXPECTATIONS, MAX_DAY_HOURS
 from rosterlake.functions.numbers import percent
-from rosterlake.operators.keys import duplicate_keys
+from rosterlake.operators.keys import duplicate_keys, stored_on_days
 from rosterlake.schemas import FX_KEY, NATURAL_KEY, required_columns
 
 
@@ -20,6 +20,20 @@ def require_unique_facts(facts):
     require_unique(facts, NATURAL_KEY, "natural key")
 
 
+def stored_duplicates(facts, table, key=NATURAL_KEY):
+    """The rows of a batch whose key the table holds already; of the table only their days are read."""
+    held = stored_on_days(facts, table, key)
+    return facts.join(held, key, "left_semi")
+
+
+def require_unstored_facts(facts, table):
+    """Raise when the table holds a key of the batch."""
+    found = stored_duplicates(facts, table).select(*NATURAL_KEY).head(1)
+    if found:
+        shown = ", ".join(f"{k}={found[0][k]}" for k in NATURAL_KEY)
+        raise ValueError(f"Natural key is in the table already: {shown}")
+
+
 def require_unique_rates(rates):
     require_unique(rates, FX_KEY, "exchange-rate key")
 
@@ -54,12 +68,17 @@ def require_not_null(frame, table, schema):
 
 
 def with_reason(entries, max_hours=MAX_DAY_HOURS):
-    """Why a row is out of range; null for a row to accept. Missing counts as out."""
+    """Why a row is out of range; null for a row to accept. Missing counts as out.
+
+    A reason that the row has already stands.
+    """
     hours_ok = F.abs("hours_worked") <= max_hours
     share_ok = (F.col("allocation_pct") > 0) & (F.col("allocation_pct") <= 1)
     reason = F.when(~F.coalesce(hours_ok, F.lit(False)), "hours out of range").when(
         ~F.coalesce(share_ok, F.lit(False)), "allocation out of range"
     )
+    if "reason" in entries.columns:
+        reason = F.coalesce(F.col("reason"), reason)
     return entries.withColumn("reason", reason)
 
 

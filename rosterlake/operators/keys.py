@@ -44,6 +44,22 @@ def row_id(*columns):
     return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]), 256)
 
 
+def stored_on_days(rows, table, columns):
+    """The table's rows, of the given columns, on the days that occur among rows.
+
+    The distinct days, no more than a calendar has, are broadcast and prune the table's
+    partitions at run time, so that one late row does not open all the days since. Spark
+    prunes only by a side with a filter, which the lower bound is.
+    """
+    days = rows.select("work_date").filter(F.col("work_date") >= F.lit("0001-01-01").cast("date")).distinct()
+    return table.select(*dict.fromkeys(["work_date", *columns])).join(F.broadcast(days), "work_date", "left_semi")
+
+
+def fingerprint(*columns):
+    """A 64-bit hash of what a row says; nulls count by their place."""
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
+
+
 def missing_keys(candidates, existing, key):
     """One candidate per key that the existing table does not hold."""
     known = existing.select(*key).distinct()

@@ -67,8 +67,8 @@ def non_billable_chance(entries, departments=C.DEPARTMENT_BENCH, season=C.SEASON
     return entries.withColumn("non_billable_chance", F.when(on_bench, 1.0).otherwise(clamped))
 
 
-def fact_metrics(entries, batch_id, load_timestamp):
-    """Fact rows from raw entries.
+def fact_metrics(entries, batch_id, load_timestamp, keep=()):
+    """Fact rows from raw entries; keep names columns to carry along.
 
     entries: emp_id, work_date, project_id (null or -1 on the bench), base_hours,
     allocation_pct, is_billable, hourly_rate_usd. On the bench the hours stand as
@@ -98,7 +98,7 @@ def fact_metrics(entries, batch_id, load_timestamp):
         "original_timesheet_id": F.lit(None).cast("string"),
         "load_timestamp": F.lit(str(load_timestamp)).cast("timestamp"),
         "batch_id": F.lit(batch_id),
-    }).select(*COLUMNS)
+    }).select(*COLUMNS, *keep)
 
 
 def _revenue(hours):

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from rosterlake.constants import HISTORY_START
 from rosterlake.operators.asof import active_project
 from rosterlake.operators.checks import require_not_null, require_unique_facts, with_reason
-from rosterlake.operators.keys import row_id
+from rosterlake.operators.keys import duplicate_keys, fingerprint, row_id, stored_on_days
 from rosterlake.plans.facts import COLUMNS, apply_corrections, fact_metrics
-from rosterlake.plans.schedule import loggable
+from rosterlake.plans.schedule import judge_days
 from rosterlake.schemas import NATURAL_KEY, TIMESHEETS
 
 FACT = "fact_timesheets"
 QUARANTINE = "quarantine_timesheets"
 STAGING = "staging_load_"
+CONTENT = ["project_id", "hours_worked", "allocation_pct", "is_billable", "hourly_rate_usd"]
 
 
 @dataclass
@@ -66,14 +67,32 @@ def high_water_mark(facts, history_start=HISTORY_START):
 
 
 def judged_facts(inputs, first, last, batch_id, load_timestamp):
-    """Original fact rows for the days from first to last, each with its reason to be
+    """Every entry for the days from first to last as a fact row, with its reason to be
     set aside, null for a row to load."""
-    entries = loggable(
-        inputs.entries.drop("project_id"), inputs.employees, first, last,
+    entries = judge_days(
+        inputs.entries.drop("project_id", "reason"), inputs.employees, first, last,
         inputs.absences, inputs.weekend_work,
     )
     staffed = active_project(entries, inputs.schedule)
-    return with_reason(fact_metrics(staffed, batch_id, load_timestamp))
+    return with_reason(fact_metrics(staffed, batch_id, load_timestamp, keep=["reason"]))
+
+
+def settle(judged):
+    """Judged rows with keys that occur more than once decided: a reason for all but one row per key.
+
+    Equal rows of a key are repeats of the first. Unlike rows of a key contradict each other and none is
+    loaded, whatever their order. Copies are counted map-side, so a key that fills a third of the
+    rows is a few rows before it meets anything.
+    """
+    counted = judged.groupBy(*COLUMNS, "reason").agg(F.count(F.lit(1)).alias("_copies"))
+    unlike = duplicate_keys(counted.filter(F.col("reason").isNull()), ["timesheet_id"]).select(
+        "timesheet_id", F.lit("conflict").alias("_unlike"))
+    decided = counted.join(unlike, "timesheet_id", "left").withColumn("reason", F.coalesce("reason", "_unlike"))
+    first = F.col("reason").isNull()
+    reasons = F.when(first, F.concat(F.array(F.lit(None).cast("string")), F.array_repeat(
+        F.lit("repeat"), (F.col("_copies") - 1).cast("int")))).otherwise(
+            F.array_repeat("reason", F.col("_copies").cast("int")))
+    return decided.select(*COLUMNS, F.explode(reasons).alias("reason"))
 
 
 def adjustments_by_id(adjustments):
@@ -83,12 +102,16 @@ def adjustments_by_id(adjustments):
 
 
 def unseen(rows, table):
-    """Rows whose id the table does not hold; of the table only their range of days is read."""
-    days = rows.agg(F.min("work_date").alias("first"), F.max("work_date").alias("last")).head()
-    known = table.filter(F.col("work_date").between(F.lit(days["first"]), F.lit(days["last"])))
-    return rows.join(known.select("timesheet_id").distinct(), "timesheet_id", "left_anti").select(
-        *rows.columns
-    )
+    """Rows whose id the table does not hold; of the table only their days are read."""
+    known = stored_on_days(rows, table, ["timesheet_id"]).distinct()
+    return rows.join(known, ["work_date", "timesheet_id"], "left_anti").select(*rows.columns)
+
+
+def newly_set_aside(rows, quarantine):
+    """Rows that are not set aside yet with the same content for the same reason."""
+    said = fingerprint(*CONTENT, "reason").alias("_said")
+    known = quarantine.select("timesheet_id", said).distinct()
+    return rows.select("*", said).join(known, ["timesheet_id", "_said"], "left_anti").select(*rows.columns)
 
 
 def stage(lake, judged, staging):
@@ -99,14 +122,18 @@ def stage(lake, judged, staging):
     judged.write.saveAsTable(lake.name(staging))
 
 
-def publish(lake, staging, adjustments=None, skip_known=False):
+def publish(lake, staging, adjustments=None, skip_known=False, conflicts="raise"):
     """Check staged originals and append them with their corrections: (loaded, set aside).
 
     Corrections and checks read the staging table, and the fact gets one write, after
     one shuffle by day: nothing is computed again, and a failed check leaves the fact
-    as it was. skip_known: leave out rows whose id is in the table already.
+    as it was. skip_known: leave out rows whose id is in the table already. conflicts: "raise"
+    refuses a batch with a key that occurs twice; "set aside" loads the rest (see settle), and
+    what is loaded and what is set aside are together the staged rows.
     """
     staged = lake.read(staging)
+    if conflicts == "set aside":
+        staged = settle(staged)
     facts = staged.filter(F.col("reason").isNull()).select(*COLUMNS)
     rejected = staged.filter(F.col("reason").isNotNull())
     if adjustments is not None:
@@ -120,7 +147,7 @@ def publish(lake, staging, adjustments=None, skip_known=False):
     if skip_known:
         facts = unseen(facts, lake.read(FACT))
     # days without loaded rows are looked at again, and what was set aside stays so once
-    rejected = unseen(rejected, lake.read_or_empty(QUARANTINE))
+    rejected = newly_set_aside(rejected, lake.read_or_empty(QUARANTINE))
     loaded = lake.append(facts, FACT)
     set_aside = 0 if rejected.isEmpty() else lake.append(rejected, QUARANTINE)
     # not in a finally block: what a failed write leaves staged, the next run finishes
@@ -128,25 +155,27 @@ def publish(lake, staging, adjustments=None, skip_known=False):
     return loaded, set_aside
 
 
-def finish_lost_loads(lake, adjustments):
+def finish_lost_loads(lake, adjustments, conflicts="raise"):
     """Publish what a failed run left staged, but for the rows it had written.
 
     Without this, days written in part would lie below the high-water mark.
     """
     return sum(
-        publish(lake, staging, adjustments, skip_known=True)[0]
+        publish(lake, staging, adjustments, skip_known=True, conflicts=conflicts)[0]
         for staging in lake.tables(STAGING)
     )
 
 
-def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
+def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None, conflicts="raise"):
     """Append the days after the loaded ones, up to `last`; a second run adds nothing.
 
+    Every entry of those days is either loaded or set aside with its reason.
+
     One load runs at a time: a staging table found at the start counts as left behind.
     """
     lake.create(FACT)
     lake.add_missing_columns(FACT)
-    recovered = finish_lost_loads(lake, inputs.adjustments)
+    recovered = finish_lost_loads(lake, inputs.adjustments, conflicts)
     days = lake.partition_days(FACT)
     first = high_water_mark(days, history_start).head()["next_start"]
     batch_id, load_timestamp = new_batch(now)
@@ -154,5 +183,5 @@ def load_increment(lake, inputs, last, history_start=HISTORY_START, now=None):
         return Outcome(first, last, recovered, 0, batch_id)
     staging = STAGING + batch_id.replace("-", "_").lower()
     stage(lake, judged_facts(inputs, first, last, batch_id, load_timestamp), staging)
-    loaded, set_aside = publish(lake, staging, inputs.adjustments)
+    loaded, set_aside = publish(lake, staging, inputs.adjustments, conflicts=conflicts)
     return Outcome(first, last, recovered + loaded, set_aside, batch_id)

@@ -81,31 +81,38 @@ def _marks(absences, weekend_work):
     return away.unionByName(extra)
 
 
-def open_days(entries, absences, weekend_work):
-    """Leave out entries on days of absence, and on weekend days not listed.
+def judge_days(entries, employees, first, last, absences, weekend_work):
+    """The entries dated from first to last, each with the reason why it may not be logged, null for one that may.
 
-    Both lists are first reduced to one row per employee and day, so that one join
-    answers both, with many rows per key on its left side only.
+    One pass: employees and both lists meet the entries by left joins, so that no entry is lost. The
+    lists are first reduced to one row per employee and day, so that one join answers both, with many
+    rows per key on its left side only. An employee without a join date has always been there.
+    Entries without a day belong to no load.
     """
     key = ["emp_id", "work_date"]
+    day = F.col("work_date")
     marks = (
         _marks(absences, weekend_work)
         .groupBy(*key)
         .agg(F.bool_or("_absent").alias("_absent"), F.bool_or("_listed").alias("_listed"))
     )
-    absent = F.coalesce("_absent", F.lit(False))
-    listed = F.coalesce("_listed", F.lit(False))
+    staff = employees.select("emp_id", F.col("join_date").alias("_joined"), F.lit(True).alias("_known"))
+    dated = entries.filter((day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date")))
+    reason = (
+        F.when(F.col("_known").isNull(), "unknown employee")
+        .when(day < F.col("_joined"), "before joining")
+        .when(F.col("_absent"), "absent")
+        .when(is_weekend(day) & ~F.coalesce("_listed", F.lit(False)), "weekend not listed")
+    )
     return (
-        entries.join(marks, key, "left")
-        .filter(~absent & (~is_weekend(F.col("work_date")) | listed))
-        .drop("_absent", "_listed")
+        dated.join(staff, "emp_id", "left")
+        .join(marks, key, "left")
+        .withColumn("reason", reason)
+        .drop("_joined", "_known", "_absent", "_listed")
     )
 
 
 def loggable(entries, employees, first, last, absences, weekend_work):
     """The entries that fall on a day of the spine, without building the spine."""
-    begin = F.greatest(F.lit(first).cast("date"), F.col("join_date"))
-    day = F.col("work_date")
-    dated = entries.filter((day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date")))
-    joined = dated.join(employees.select("emp_id", "join_date"), "emp_id").filter(day >= begin)
-    return open_days(joined.drop("join_date"), absences, weekend_work)
+    judged = judge_days(entries, employees, first, last, absences, weekend_work)
+    return judged.filter(F.col("reason").isNull()).drop("reason")

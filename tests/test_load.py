@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,10 @@ from rosterlake.plans import load
 from rosterlake.plans.load import FACT, QUARANTINE, Inputs, load_increment
 from rosterlake.schemas import SCHEDULE
 from rosterlake.streaming.entries import load_entries
-from tests.conftest import day, rows
+from rosterlake.operators.checks import require_unstored_facts, stored_duplicates
+from rosterlake.operators.keys import stored_on_days
+from rosterlake.streaming.entries import read_entries
+from tests.conftest import day, plan, rows
 
 DAYS = "emp_id long, work_date date"
 MONDAY = day("2024-01-01")
@@ -51,7 +56,8 @@ def test_loads_meet_and_do_not_repeat(lake, inputs):
         (1, plus(2), "correction", -1.0, 7),
         *[(2, plus(d), "original", 7.0, -1) for d in (3, 4)],
     ], key=repr)
-    assert first.loaded == 8 and first.quarantined == 0
+    # set aside: employee 1 absent and on Sunday; employee 2 before joining and on the weekend
+    assert first.loaded == 8 and first.quarantined == 2 + 3 + 2
 
     again = load_increment(lake, inputs, plus(6))
     # the last loaded day is the Saturday, so Sunday is looked at once more
@@ -74,8 +80,8 @@ def test_one_load_equals_two(lake, inputs):
 
 
 def test_out_of_range_is_set_aside(lake, inputs):
-    assert load_increment(lake, inputs, plus(21)).quarantined == 1
-    assert rows(lake.read(QUARANTINE), "emp_id", "work_date", "reason") == [
+    assert load_increment(lake, inputs, plus(21)).quarantined == 12
+    assert rows(lake.read(QUARANTINE).filter("reason LIKE '%range'"), "emp_id", "work_date", "reason") == [
         (1, plus(21), "hours out of range")]
     assert (1, plus(21)) not in loaded(lake, "emp_id", "work_date")
     assert lake.tables("staging") == []
@@ -149,3 +155,106 @@ def test_stream_replay_appends_nothing(spark, lake, inputs, tmp_path):
         stream = spark.readStream.schema(entries.schema).parquet(source)
         load_entries(lake, stream, str(tmp_path / run)).awaitTermination(120)
     assert len(loaded(lake)) == entries.count()
+
+
+def test_every_entry_is_loaded_or_set_aside_once(lake, inputs):
+    """Accepted and set aside are the entries of the days, over three runs that overlap."""
+    more = [(9, plus(2), 7.0, 0.8, True, 50.0), (1, plus(3), 7.0, 0.8, True, 50.0), (1, plus(3), 7.0, 0.8, True, 50.0),
+            (1, plus(4), 6.0, 0.8, True, 50.0), (2, plus(9), 7.0, 1.5, True, 50.0), (2, plus(9), None, 0.8, True, 50.0)]
+    inputs.entries = inputs.entries.unionByName(inputs.entries.sparkSession.createDataFrame(more, inputs.entries.schema))
+    inputs.adjustments = inputs.adjustments.limit(0)
+    for last in (plus(6), plus(6), plus(22)):
+        load_increment(lake, inputs, last, conflicts="set aside")
+    asked = inputs.entries.filter(F.col("work_date") <= F.lit(plus(22)))
+    assert lake.read(FACT).count() + lake.read(QUARANTINE).count() == asked.count()
+    told = lake.read(QUARANTINE).groupBy("reason").count()
+    assert rows(told) == [("absent", 1), ("allocation out of range", 1), ("before joining", 3), ("conflict", 2),
+                          ("hours out of range", 2), ("repeat", 2), ("unknown employee", 1), ("weekend not listed", 7)]
+    assert (1, plus(4), "original") not in loaded(lake, "emp_id", "work_date", "entry_type")
+    assert (1, plus(3), "original") in loaded(lake, "emp_id", "work_date", "entry_type")
+
+
+def test_another_bad_value_leaves_a_trace(lake, inputs):
+    """A rejected entry comes again, with a value that is out of range as well."""
+    inputs.entries = inputs.entries.filter(F.col("work_date") == F.lit(plus(21))).filter("emp_id = 1")
+    for hours in (99.0, 99.0, 77.0):
+        inputs.entries = inputs.entries.withColumn("base_hours", F.lit(hours))
+        load_increment(lake, inputs, plus(21))
+    assert rows(lake.read(QUARANTINE), "hours_worked") == [(77.0,), (99.0,)]
+
+
+def test_keys_in_the_table_are_found_on_their_days_only(lake, inputs):
+    load_increment(lake, inputs, plus(13))
+    stored = lake.read(FACT)
+    batch = stored.filter(F.col("work_date").isin(plus(2), plus(11))).withColumn("load_timestamp", F.current_timestamp())
+    new = batch.withColumn("emp_id", F.col("emp_id") + 100)
+    assert rows(stored_duplicates(batch.unionByName(new), stored), "timesheet_id") == rows(batch, "timesheet_id")
+    with pytest.raises(ValueError, match="in the table already"):
+        require_unstored_facts(batch, stored)
+    require_unstored_facts(new, stored)
+    # Of the ten days between, only the two are opened.
+    held = stored_on_days(batch, stored, ["timesheet_id"])
+    assert "dynamicpruning" in plan(held)
+    assert {r["work_date"] for r in held.collect()} == {plus(2), plus(11)}
+
+
+def entry_files(entries, folder):
+    """Each delivery as a file of its own, in order."""
+    deliveries = [
+        entries.filter("base_hours <= 8"),
+        # one says something else, one repeats, one is out of range
+        entries.filter((F.col("emp_id") == 1) & (F.col("work_date") == F.lit(plus(0)))).withColumn("base_hours", F.lit(2.0)),
+        entries.filter(F.col("work_date") == F.lit(plus(2))),
+        entries.filter("base_hours > 8"),
+        # the same contradiction and the same bad value again, and a third version
+        entries.filter((F.col("emp_id") == 1) & (F.col("work_date") == F.lit(plus(0)))).withColumn("base_hours", F.lit(2.0)),
+        entries.filter("base_hours > 8"),
+        entries.filter((F.col("emp_id") == 1) & (F.col("work_date") == F.lit(plus(0)))).withColumn("base_hours", F.lit(3.0)),
+    ]
+    dated = set()
+    for number, part in enumerate(deliveries):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        for written in set(Path(folder).glob("part-*.parquet")) - dated:
+            os.utime(written, (1.7e9 + number, 1.7e9 + number))
+            dated.add(written)
+
+
+def test_stream_does_not_depend_on_files_per_trigger(spark, lake, inputs, tmp_path):
+    source = str(tmp_path / "in")
+    entries = inputs.entries.withColumn("project_id", F.lit(7).cast("long"))
+    entry_files(entries, source)
+    results = []
+    for files in (1, 100):
+        lake.recreate(FACT)
+        lake.drop(QUARANTINE)
+        stream = read_entries(spark, source, entries.schema, files)
+        load_entries(lake, stream, str(tmp_path / f"checkpoint{files}")).awaitTermination(300)
+        results.append([rows(lake.read(table).drop("batch_id", "load_timestamp")) for table in (FACT, QUARANTINE)])
+        assert lake.tables("staging") == []
+    assert results[0] == results[1]
+    assert rows(lake.read(QUARANTINE), "emp_id", "hours_worked", "reason") == [
+        (1, 1.5, "conflict"), (1, 2.5, "conflict"), (1, 99.0, "hours out of range")]
+    assert len(loaded(lake)) == entries.filter("base_hours <= 8").count()
+
+
+def test_stream_replays_a_lost_micro_batch(spark, lake, inputs, tmp_path, monkeypatch):
+    """The driver dies after the facts are stored and before the micro-batch is committed."""
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    entries = inputs.entries.withColumn("project_id", F.lit(7).cast("long"))
+    entry_files(entries, source)
+    drop = lake.drop
+
+    def lost(table):
+        if table.startswith("staging_stream"):
+            raise RuntimeError("lost")
+        drop(table)
+
+    monkeypatch.setattr(lake, "drop", lost)
+    with pytest.raises(Exception, match="lost"):
+        load_entries(lake, read_entries(spark, source, entries.schema), checkpoint).awaitTermination(300)
+    first = [rows(lake.read(table), "timesheet_id", "hours_worked") for table in (FACT, QUARANTINE)]
+    assert lake.tables("staging") != []
+    monkeypatch.setattr(lake, "drop", drop)
+    load_entries(lake, read_entries(spark, source, entries.schema), checkpoint).awaitTermination(300)
+    assert [rows(lake.read(table), "timesheet_id", "hours_worked") for table in (FACT, QUARANTINE)] == first
+    assert lake.tables("staging") == []

@@ -202,6 +202,20 @@ class Lens:
             (F.col("l_suppkey") % 56 + 40).cast("double").alias("hourly_rate_usd"),
         )
 
+    @cached_property
+    def numbered_entries(self):
+        """The raw entries with the order in which they count as delivered."""
+        line = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "q", "l_linestatus")
+        return self.raw.select(
+            "emp_id", "work_date",
+            F.when(~F.col("on_bench"), F.col("l_suppkey") + 1).alias("project_id"),
+            (F.col("q") * F.lit(0.25)).alias("base_hours"),
+            _share(F.col("l_linenumber")).alias("allocation_pct"),
+            (F.col("l_linestatus") == "F").alias("is_billable"),
+            (F.col("l_suppkey") % 56 + 40).cast("double").alias("hourly_rate_usd"),
+            line.alias("line"),
+        )
+
     @cached_property
     def daily_entries(self):
         """One entry per employee and day: the first order line, combined map-side."""

@@ -343,6 +343,82 @@ ORACLES = {
                isodow(work_date) >= 6 AS is_weekend_work, FALSE AS is_correction, 'original' AS entry_type,
                CAST(NULL AS STRING) AS original_timesheet_id
         FROM m WHERE abs(hours_worked) <= 8 AND allocation_pct > 0 AND allocation_pct <= 1""",
+    "load_quarantine": f"""
+        , timeline AS ({_SCHEDULE.format(horizon="DATE '2001-12-31'", history="DATE '1995-01-01'")}),
+        staff AS (SELECT emp_id, join_date FROM wf_employees WHERE department IS NOT NULL),
+        dated AS (
+          SELECT * EXCLUDE (project_id) FROM wf_entries
+          WHERE work_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'),
+        staffed AS (
+          SELECT d.*, CASE WHEN d.work_date <= t.end_date THEN t.project_id END AS project
+          FROM dated d ASOF LEFT JOIN timeline t ON d.emp_id = t.emp_id AND d.work_date >= t.start_date),
+        measured AS (
+          SELECT emp_id, work_date, coalesce(project, -1) AS project_id,
+                 sha256(emp_id || '|' || work_date || '|original') AS timesheet_id,
+                 project IS NOT NULL AND is_billable AS billable,
+                 CASE WHEN project IS NOT NULL AND is_billable THEN hourly_rate_usd ELSE 0e0 END AS rate,
+                 CASE WHEN project IS NULL THEN 1e0 ELSE allocation_pct END AS allocation_pct,
+                 CASE WHEN project IS NULL THEN base_hours
+                      ELSE {_HALF_HOURS.format(x='base_hours * allocation_pct')} END AS hours_worked
+          FROM staffed),
+        judged AS (
+          SELECT m.*, CASE
+                   WHEN s.emp_id IS NULL THEN 'unknown employee'
+                   WHEN m.work_date < s.join_date THEN 'before joining'
+                   WHEN (m.emp_id, m.work_date) IN (SELECT (emp_id, work_date) FROM wf_absences) THEN 'absent'
+                   WHEN isodow(m.work_date) >= 6
+                     AND (m.emp_id, m.work_date) NOT IN (SELECT (emp_id, work_date) FROM wf_weekend_work)
+                   THEN 'weekend not listed'
+                   WHEN abs(hours_worked) > 8 THEN 'hours out of range'
+                   WHEN allocation_pct <= 0 OR allocation_pct > 1 THEN 'allocation out of range' END AS reason
+          FROM measured m LEFT JOIN staff s ON m.emp_id = s.emp_id),
+        versions AS (
+          SELECT timesheet_id FROM (
+            SELECT DISTINCT timesheet_id, project_id, hours_worked, allocation_pct, billable, rate
+            FROM judged WHERE reason IS NULL)
+          GROUP BY timesheet_id HAVING count(*) > 1),
+        numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY timesheet_id, reason) AS turn FROM judged)
+        SELECT timesheet_id, emp_id, work_date, project_id, hours_worked, allocation_pct,
+               CASE WHEN reason IS NOT NULL THEN reason
+                    WHEN timesheet_id IN (SELECT timesheet_id FROM versions) THEN 'conflict'
+                    WHEN turn > 1 THEN 'repeat' ELSE 'accepted' END AS reason
+        FROM numbered""",
+    "streaming_conflicts": f"""
+        , delivered AS (
+          SELECT o_custkey AS emp_id, CAST(l_shipdate AS DATE) AS work_date,
+                 CASE WHEN l_suppkey % 10 <> 0 THEN l_suppkey + 1 END AS project_id, q * 25e-2 AS base_hours,
+                 CASE l_linenumber % 5 WHEN 0 THEN 0e0 WHEN 1 THEN 6e-1 WHEN 2 THEN 8e-1 WHEN 3 THEN 1e0 ELSE 12e-1 END
+                   AS allocation_pct,
+                 l_linestatus = 'F' AS is_billable, CAST(40 + l_suppkey % 56 AS DOUBLE) AS hourly_rate_usd,
+                 row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, q, l_linestatus) AS turn
+          FROM wf_raw),
+        measured AS (
+          SELECT emp_id, work_date, coalesce(project_id, -1) AS project_id, turn,
+                 sha256(emp_id || '|' || work_date || '|original') AS timesheet_id,
+                 project_id IS NOT NULL AND is_billable AS is_billable,
+                 CASE WHEN project_id IS NOT NULL AND is_billable THEN hourly_rate_usd ELSE 0e0 END AS hourly_rate_usd,
+                 CASE WHEN project_id IS NULL THEN 1e0 ELSE allocation_pct END AS allocation_pct,
+                 CASE WHEN project_id IS NULL THEN base_hours
+                      ELSE {_HALF_HOURS.format(x='base_hours * allocation_pct')} END AS hours_worked
+          FROM delivered),
+        fit AS (
+          SELECT *, min(turn) OVER (PARTITION BY timesheet_id) AS first_turn FROM measured
+          WHERE abs(hours_worked) <= 8 AND allocation_pct > 0 AND allocation_pct <= 1),
+        facts AS (
+          SELECT timesheet_id, emp_id, work_date, project_id, hours_worked, allocation_pct, is_billable, hourly_rate_usd
+          FROM fit WHERE turn = first_turn),
+        others AS (
+          SELECT timesheet_id, emp_id, work_date, project_id, hours_worked, allocation_pct, is_billable, hourly_rate_usd
+          FROM fit WHERE turn > first_turn
+          EXCEPT SELECT * FROM facts)
+        SELECT *, 'accepted' AS reason FROM facts
+        UNION ALL SELECT *, 'conflict' AS reason FROM others
+        UNION ALL
+        SELECT DISTINCT timesheet_id, emp_id, work_date, project_id, hours_worked, allocation_pct, is_billable,
+               hourly_rate_usd,
+               CASE WHEN abs(hours_worked) > 8 THEN 'hours out of range' ELSE 'allocation out of range' END AS reason
+        FROM measured WHERE abs(hours_worked) > 8 OR allocation_pct <= 0 OR allocation_pct > 1""",
 }
 
 

@@ -15,7 +15,7 @@ from rosterlake.schemas import TABLES, TIMESHEETS
 from rosterlake.session import task_count, work_folder
 from rosterlake.sources import fx_documents
 from rosterlake.sources.tables import Lake, read_files
-from rosterlake.streaming.entries import load_entries
+from rosterlake.streaming.entries import load_entries, read_entries
 from verification.lens import Lens
 
 OVER_LENS = {}
@@ -507,3 +507,37 @@ def streaming_load(lens):
     stream = lens.spark.readStream.schema(lens.daily_entries.schema).parquet(f"{folder}/entries")
     load_entries(lake, stream, f"{folder}/checkpoint").awaitTermination()
     return wall_clock(lake.read("fact_timesheets").drop("load_timestamp", "batch_id"))
+
+
+@query
+def load_quarantine(lens):
+    """What three loads of all lines set aside, of employees with a known department, and how many rows they loaded."""
+    timeline = schedule.build_schedule(
+        lens.cycles, lens.assignments, dt.date(2001, 12, 31), dt.date(1995, 1, 1)
+    )
+    inputs = load.Inputs(
+        lens.employees.filter("department IS NOT NULL"), timeline, lens.entries, lens.absences,
+        lens.weekend_work, lens.daily_adjustments,
+    )
+    lake = new_lake(lens.spark)
+    for last in (dt.date(1997, 6, 30), dt.date(1997, 6, 30), dt.date(2001, 12, 31)):
+        load.load_increment(lake, inputs, last, dt.date(1995, 1, 1), conflicts="set aside")
+    columns = ["timesheet_id", "emp_id", "work_date", "project_id", "hours_worked", "allocation_pct"]
+    accepted = lake.read("fact_timesheets").filter("NOT is_correction").select(*columns, F.lit("accepted").alias("reason"))
+    return accepted.unionByName(lake.read("quarantine_timesheets").select(*columns, "reason"))
+
+
+@query
+def streaming_conflicts(lens):
+    """All lines as deliveries: the first in range of a key is the fact, later ones that say something else are
+    set aside."""
+    lake = new_lake(lens.spark)
+    folder = work_folder(lens.spark)
+    lines = lens.numbered_entries
+    lines.write.parquet(f"{folder}/entries")
+    stream = lens.spark.readStream.schema(lines.schema).parquet(f"{folder}/entries")
+    load_entries(lake, stream.withColumnRenamed("line", "arrival"), f"{folder}/checkpoint").awaitTermination()
+    columns = ["timesheet_id", "emp_id", "work_date", "project_id", "hours_worked", "allocation_pct", "is_billable",
+               "hourly_rate_usd"]
+    accepted = lake.read("fact_timesheets").filter("NOT is_correction").select(*columns, F.lit("accepted").alias("reason"))
+    return accepted.unionByName(lake.read("quarantine_timesheets").select(*columns, "reason"))
