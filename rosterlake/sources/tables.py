@@ -1,6 +1,9 @@
-"""Catalog tables on Parquet: reads, replace and append loads, evolution."""
+"""Catalog tables on Parquet: reads, replace and append loads, evolution, upkeep."""
 
+import datetime as dt
+import re
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
@@ -25,6 +28,19 @@ def read_files_or_empty(spark, path, schema):
         return spark.createDataFrame([], schema)
 
 
+def read_merged(spark, path, schema):
+    """Folders of files written under older and newer schemas, by the union of their footers.
+
+    A column that a file lacks reads null, and one that no file has is added; columns that the schema does not name
+    are left out.
+    """
+    frame = spark.read.option("mergeSchema", "true").parquet(path)
+    present = set(frame.columns)
+    return frame.select(*[
+        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
+
+
 def lay_out_fact(facts, tasks=None):
     """One shuffle by day before a partitioned write, sorted by employee and project.
 
@@ -45,11 +61,13 @@ def lay_out_fact(facts, tasks=None):
 class Lake:
     """The tables of one database, each with its files below one root folder.
 
-    write_tasks: see lay_out_fact; used for appends to partitioned tables.
+    write_tasks: see lay_out_fact; used for appends to partitioned tables. max_file_rows: no file of an
+    append holds more rows.
     """
 
-    def __init__(self, spark, database, root, write_tasks=None):
+    def __init__(self, spark, database, root, write_tasks=None, max_file_rows=None):
         self.spark = spark
+        self.max_file_rows = max_file_rows
         self.write_tasks = write_tasks
         self.database = database
         self.root = root.rstrip("/")
@@ -58,6 +76,19 @@ class Lake:
     def name(self, table):
         return f"{self.database}.{table}"
 
+    @contextmanager
+    def _set(self, key, value):
+        """A session setting for the length of one write; None leaves it as it is."""
+        if value is None:
+            yield
+            return
+        before = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, str(value))
+        try:
+            yield
+        finally:
+            self.spark.conf.unset(key) if before is None else self.spark.conf.set(key, before)
+
     def exists(self, table):
         return self.spark.catalog.tableExists(self.name(table))
 
@@ -131,12 +162,95 @@ class Lake:
         target = self.read(table).schema
         if table in PARTITIONING:
             frame = lay_out_fact(frame, self.write_tasks)
-        self._aligned(frame, target).observe(
+        observed_write = self._aligned(frame, target).observe(
+            observed, F.count(F.lit(1)).alias("rows")
+        ).write
+        # an insert into a table takes these from the session, not from the writer's options
+        with self._set("spark.sql.files.maxRecordsPerFile", self.max_file_rows):
+            observed_write.insertInto(self.name(table))
+        self.spark.catalog.refreshTable(self.name(table))
+        return observed.get["rows"]
+
+    def append_clustered(self, frame, table, key, order, buckets) -> int:
+        """Append to a table in buckets of the key, each sorted by order; created if absent.
+
+        A window or join on the key then reads the table without a shuffle, and sorted buckets let filters on
+        order skip row groups. The one shuffle here deals rows as the buckets do, so a load adds one
+        file per bucket. Choose buckets so that one fits a task at the size the table will have.
+        """
+        if not self.exists(table):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE {self.name(table)} ({columns}) USING parquet CLUSTERED BY ({', '.join(key)}) "
+                f"SORTED BY ({', '.join(order)}) INTO {buckets} BUCKETS LOCATION '{self._fresh_location(table)}'"
+            )
+        observed = Observation()
+        self._aligned(frame, self.read(table).schema).observe(
             observed, F.count(F.lit(1)).alias("rows")
-        ).write.insertInto(self.name(table))
+        ).repartition(buckets, *key).write.insertInto(self.name(table))
         self.spark.catalog.refreshTable(self.name(table))
         return observed.get["rows"]
 
+    def compact_days(self, table, most_rows):
+        """Rewrite the days whose rows lie in more files than they need; returns those days.
+
+        A day needs one file per most_rows rows. The rows of such days are staged first and then
+        replace their own partitions only. If a run dies while it replaces, the staged rows are whole,
+        and the next run begins with them.
+        """
+        staging = f"staging_compact_{table}"
+        (column,) = PARTITIONING[table]
+        if self.exists(staging):
+            self._replace_days(table, staging, most_rows)
+        files = self.read(table).groupBy(column, F.input_file_name().alias("file")).count()
+        needed = F.ceil(F.sum("count") / F.lit(most_rows))
+        days = [r[column] for r in files.groupBy(column).agg(
+            F.count(F.lit(1)).alias("files"), needed.alias("needed")).filter("files > needed").collect()]
+        if days:
+            self.read(table).filter(F.col(column).isin(days)).write.saveAsTable(self.name(staging))
+            self._replace_days(table, staging, most_rows)
+        return sorted(days)
+
+    def _replace_days(self, table, staging, most_rows):
+        (column,) = PARTITIONING[table]
+        staged = self.read(staging).repartition(F.col(column))
+        ordered = staged.sortWithinPartitions(column, "emp_id", "project_id")
+        with (self._set("spark.sql.sources.partitionOverwriteMode", "dynamic"),
+              self._set("spark.sql.files.maxRecordsPerFile", most_rows)):
+            ordered.write.insertInto(self.name(table), overwrite=True)
+        self.spark.catalog.refreshTable(self.name(table))
+        self.drop(staging)
+
+    def _location(self, table):
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").filter(
+            "col_name = 'Location'").select("data_type").head(1)
+        return rows[0][0].rstrip("/").rsplit("/", 1)[-1] if rows else None
+
+    def remove_unused(self, older_than=dt.timedelta(days=7), now=None):
+        """Delete the folders that no table points at any more and that nothing has touched for a while.
+
+        Replaced and dropped tables and crashed replaces leave such folders. The age keeps away from
+        plans that still read a table just replaced and from writes under way. Only folders that this class names, one
+        per version below a table's own, are looked at. Returns how many went.
+        """
+        jvm, hadoop = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(hadoop)
+        oldest = ((now or dt.datetime.now(dt.timezone.utc)) - older_than).timestamp() * 1000
+        live = {self._location(t) for t in self.tables()}
+        removed = 0
+        for table in files.listStatus(root) if files.exists(root) else []:
+            for version in files.listStatus(table.getPath()) if table.isDirectory() else []:
+                name = version.getPath().getName()
+                if not version.isDirectory() or not re.fullmatch("[0-9a-f]{32}", name) or name in live:
+                    continue
+                touched = max([version.getModificationTime(),
+                               *[f.getModificationTime() for f in files.listStatus(version.getPath())]])
+                if touched <= oldest:
+                    files.delete(version.getPath(), True)
+                    removed += 1
+        return removed
+
     def add_missing_columns(self, table, schema=None):
         """Additive evolution; rows written before read null in the new columns."""
         present = set(self.read(table).columns)

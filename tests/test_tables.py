@@ -1,12 +1,18 @@
+import datetime as dt
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterlake import session
-from rosterlake.plans import calendar
+from rosterlake.plans import calendar, gold, silver
+from rosterlake.plans.stored_views import store_views
 from rosterlake.schemas import CALENDAR, EMPLOYEES, PROJECTS, TABLES, TIMESHEETS
-from rosterlake.sources.tables import lay_out_fact, read_files, read_files_or_empty
-from tests.conftest import day, rows
+from rosterlake.sources.tables import lay_out_fact, read_files, read_files_or_empty, read_merged
+from tests.conftest import day, plan, rows
+from verification.lens import Lens
 from tests.test_silver_gold import sheet
 
 PEOPLE = [(1, "a", None, "MANAGER", 1.0, "PKR", "USA", day("2024-01-01")),
@@ -133,3 +139,115 @@ def test_work_folder_follows_the_cluster_setting(spark, monkeypatch):
     assert one.startswith("/shared/x/rosterlake-") and one != two
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.work_folder(Session(None))
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_a_clustered_fact_is_deduplicated_without_a_shuffle(spark, lake, no_broadcast):
+    lens = Lens(spark, SMALL)
+    for part in (lens.timesheets.filter("emp_id < 60"), lens.timesheets.filter("emp_id >= 60")):
+        lake.append_clustered(part, "fact_by_id", ["timesheet_id"], ["emp_id", "project_id"], 4)
+    stored = lake.read("fact_by_id")
+    assert len(stored.inputFiles()) == 8
+    latest = silver.silver_timesheets(stored)
+    assert "Exchange" not in plan(latest) and "Exchange" in plan(silver.silver_timesheets(lens.timesheets))
+    assert rows(latest, "timesheet_id", "hours_worked") == rows(
+        silver.silver_timesheets(lens.timesheets), "timesheet_id", "hours_worked")
+    # versions joined with corrections by id: no exchange of the fact either
+    joined = stored.select("timesheet_id", "hours_worked").join(latest.select("timesheet_id"), "timesheet_id")
+    assert "Exchange" not in plan(joined)
+
+
+def test_sorted_buckets_skip_row_groups_by_employee(spark, lake):
+    lens = Lens(spark, SMALL)
+    spark.conf.set("parquet.block.size", "16384")
+    try:
+        frame = lens.timesheets.select("timesheet_id", "emp_id", "project_id", "work_date")
+        lake.append_clustered(frame, "fact_by_id", ["timesheet_id"], ["emp_id", "project_id"], 2)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    for name in lake.read("fact_by_id").inputFiles():
+        held = pq.ParquetFile(name.removeprefix("file://"))
+        column = held.schema.names.index("emp_id")
+        spans = [held.metadata.row_group(i).column(column).statistics for i in range(held.num_row_groups)]
+        assert all(a.max <= b.min for a, b in zip(spans, spans[1:]))
+    assert "emp_id" in plan(lake.read("fact_by_id").filter("emp_id = 7")).split("PushedFilters")[1]
+
+
+def test_unused_folders_go_and_live_ones_stay(spark, lake):
+    people = spark.createDataFrame(PEOPLE, EMPLOYEES)
+    lake.replace(people, "dim_employees")
+    lake.replace(people.limit(1), "dim_employees")
+    lake.append(people, "dim_employees_source")
+    lake.drop("dim_employees_source")
+    broken = people.withColumn("local_salary", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception, match="no"):
+        lake.replace(broken, "dim_employees")
+    other = Path(lake.root, "dim_employees", "notes")
+    other.mkdir()
+    count = sum(1 for _ in Path(lake.root).glob("*/*"))
+    assert lake.remove_unused() == 0
+    removed = lake.remove_unused(dt.timedelta(0), dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
+    assert removed == count - 2 >= 2
+    assert other.is_dir() and lake.read("dim_employees").count() == 1
+    assert lake.remove_unused(dt.timedelta(0)) == 0
+
+
+def test_files_are_bounded_and_days_compacted(spark, lake):
+    days = [sheet(f"t{i}", emp=i, work=f"2024-01-0{1 + i % 2}") for i in range(40)]
+    frame = spark.createDataFrame(days, TIMESHEETS)
+    lake.max_file_rows = 7
+    for part in (frame.filter("emp_id < 20"), frame.filter("emp_id >= 20")):
+        lake.append(part, "fact_timesheets")
+    before = rows(lake.read("fact_timesheets"))
+
+    def sizes():
+        return [pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows
+                for f in lake.read("fact_timesheets").inputFiles()]
+
+    assert max(sizes()) <= 7 and len(sizes()) == 8
+    assert lake.compact_days("fact_timesheets", 10) == [day("2024-01-01"), day("2024-01-02")]
+    assert sorted(sizes()) == [10, 10, 10, 10] and rows(lake.read("fact_timesheets")) == before
+    assert lake.compact_days("fact_timesheets", 10) == []
+    # a run that died before it had replaced the days left their rows staged
+    lake.read("fact_timesheets").write.saveAsTable(lake.name("staging_compact_fact_timesheets"))
+    lake.compact_days("fact_timesheets", 100)
+    assert sorted(sizes()) == [20, 20] and rows(lake.read("fact_timesheets")) == before
+    assert lake.tables("staging") == []
+
+
+def test_files_of_two_schemas_read_as_one(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "p", "c", "USA"), (2, "q", "d", "UAE")], PROJECTS)
+    frame.filter("project_id = 1").drop("client_country").write.parquet(str(tmp_path / "x/a=1"))
+    frame.filter("project_id = 2").withColumn("extra", F.lit(1)).write.parquet(str(tmp_path / "x/a=2"))
+    wide = T.StructType([*PROJECTS.fields, T.StructField("later", T.DoubleType())])
+    merged = read_merged(spark, str(tmp_path / "x"), wide)
+    assert merged.columns == [f.name for f in wide.fields]
+    assert rows(merged) == [(1, "p", "c", None, None), (2, "q", "d", "UAE", None)]
+
+
+def test_stored_views_equal_the_plans_in_a_new_session(spark, lake):
+    lens = Lens(spark, SMALL)
+    names = store_views(lake)
+    for table in ("dim_employees", "dim_projects", "dim_exchange_rates"):
+        lake.replace(getattr(lens, table.removeprefix("dim_")), table)
+    lake.append(lens.timesheets.filter("emp_id % 10 = 3").withColumn("work_date", F.trunc("work_date", "year")),
+                "fact_timesheets")
+    store_views(lake)
+    facts = lake.read("fact_timesheets")
+    built = {
+        "silver_employees": silver.silver_employees(lens.employees),
+        "silver_projects": silver.silver_projects(lens.projects),
+        "silver_timesheets": silver.silver_timesheets(facts, silver.TIMESHEET_COLUMNS),
+        "silver_exchange_rates": silver.silver_exchange_rates(lens.exchange_rates),
+    }
+    built["gold_employees"] = gold.gold_employees(built["silver_employees"], built["silver_exchange_rates"])
+    built["gold_timesheets_enriched"] = gold.gold_from_bronze(
+        facts, lens.employees, lens.projects, lens.exchange_rates)
+    session_two = spark.newSession()
+    assert sorted(names) == sorted(built)
+    for name, frame in built.items():
+        seen = session_two.table(lake.name(name))
+        assert seen.columns == frame.columns and seen.count() > 0
+        assert rows(seen) == rows(frame), name

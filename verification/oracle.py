@@ -51,7 +51,7 @@ def _avg(column):
 
 
 def _money(column):
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(round(sum(CAST({column} AS DECIMAL(28,10))), 2) AS DOUBLE)"
 
 
 ORACLES = {
@@ -95,12 +95,14 @@ ORACLES = {
     "silver_timesheets": "SELECT * FROM silver_timesheets",
     "silver_exchange_rates": "SELECT * FROM wf_exchange_rates",
     "gold_employees": """
-        , newest AS (
-          SELECT map(list(currency_code), list(rate_to_usd)) AS usd FROM wf_exchange_rates
-          GROUP BY fx_month ORDER BY fx_month DESC LIMIT 1)
-        SELECT silver_employees.*, r2(local_salary * usd[currency], 2) AS salary_usd
-        FROM silver_employees, newest""",
+        SELECT e.emp_id, e.full_name, e.department, e.designation_level, e.local_salary, e.currency, e.region,
+               e.join_date, r2(e.local_salary * fx.rate_to_usd, 2) AS salary_usd
+        FROM silver_employees e
+        LEFT JOIN wf_exchange_rates fx
+          ON e.currency = fx.currency_code AND fx.fx_month = (SELECT max(fx_month) FROM wf_exchange_rates)""",
     "gold_timesheets_enriched": "SELECT * FROM gold_timesheets",
+    "gold_bucketed": "SELECT * FROM gold_timesheets",
+    "gold_from_views": "SELECT * FROM gold_timesheets",
     "gold_totals": f"""
         SELECT {_money('revenue_usd')} AS total_revenue, {_money('bench_cost_usd')} AS total_bench_cost
         FROM gold_timesheets""",
@@ -193,14 +195,16 @@ ORACLES = {
         WHERE (isodow(work_date) < 6 OR (emp_id, work_date) IN (SELECT (emp_id, work_date) FROM wf_weekend_work))
           AND (emp_id, work_date) NOT IN (SELECT (emp_id, work_date) FROM wf_absences)
         GROUP BY ALL""",
+    # The rate card.
     "rate_card_lookup": """
         , bands(market, low, high) AS (VALUES
           ('USA', 55, 95), ('United Kingdom', 50, 85), ('Australia', 50, 80), ('Canada', 48, 80),
           ('Germany', 45, 75), ('Netherlands', 45, 75), ('United Arab Emirates', 42, 70),
           ('Saudi Arabia', 40, 68), ('Singapore', 38, 65), ('Qatar', 40, 65)),
         factors(designation, factor) AS (VALUES
-          ('consultant', 9e-1), ('Analyst', 1e0), ('MANAGER', 14e-1), ('manager', 14e-1), ('SENIOR ANALYST', 13e-1)),
-        years(y, factor) AS (VALUES (2023, 1e0), (2024, 108e-2), (2025, 117e-2), (2026, 126e-2)),
+          ('consultant', 0.90e0), ('Analyst', 1.00e0), ('MANAGER', 1.40e0), ('manager', 1.40e0),
+          ('SENIOR ANALYST', 1.30e0)),
+        years(y, factor) AS (VALUES (2023, 1.00e0), (2024, 1.08e0), (2025, 1.17e0), (2026, 1.26e0)),
         days AS (
           SELECT t.timesheet_id, t.load_timestamp, CAST(t.work_date + INTERVAL 28 YEAR AS DATE) AS work_date,
                  m.client_country, r.designation
@@ -208,7 +212,7 @@ ORACLES = {
           JOIN wf_roster r ON t.emp_id = r.emp_id)
         SELECT timesheet_id, load_timestamp, work_date, client_country, d.designation,
                CAST(coalesce(low, 40) AS DOUBLE) AS rate_low, CAST(coalesce(high, 65) AS DOUBLE) AS rate_high,
-               r2((coalesce(low, 40) + coalesce(high, 65)) / 2e0 * coalesce(y.factor, 126e-2) * coalesce(f.factor, 1e0), 2)
+               r2((coalesce(low, 40) + coalesce(high, 65)) / 2e0 * coalesce(y.factor, 1.26e0) * coalesce(f.factor, 1e0), 2)
                  AS hourly_rate_usd
         FROM days d LEFT JOIN bands b ON d.client_country = b.market
         LEFT JOIN factors f ON d.designation = f.designation
@@ -426,19 +430,24 @@ def _null_report():
     """One select per column, so that the oracle shares nothing with the report it checks."""
     tables = {
         ("wf_employees", "dim_employees"): (
-            "emp_id name", "department designation local_salary currency region join_date"),
-        ("wf_projects", "dim_projects"): ("project_id project_name", "client_name client_country"),
+            ["emp_id", "name"],
+            ["department", "designation", "local_salary", "currency", "region", "join_date"]),
+        ("wf_projects", "dim_projects"): (
+            ["project_id", "project_name"],
+            ["client_name", "client_country"]),
         ("wf_exchange_rates", "dim_exchange_rates"): (
-            "fx_month base_currency currency_code", "rate_to_usd"),
+            ["fx_month", "base_currency", "currency_code"],
+            ["rate_to_usd"]),
         ("wf_timesheets", "fact_timesheets"): (
-            "timesheet_id emp_id project_id work_date fx_month created_at hours_worked is_billable "
-            "hourly_rate_usd revenue_usd allocation_pct is_anomaly is_weekend_work is_correction "
-            "entry_type load_timestamp batch_id", "original_timesheet_id"),
+            ["timesheet_id", "emp_id", "project_id", "work_date", "fx_month", "created_at", "hours_worked",
+             "is_billable", "hourly_rate_usd", "revenue_usd", "allocation_pct", "is_anomaly", "is_weekend_work",
+             "is_correction", "entry_type", "load_timestamp", "batch_id"],
+            ["original_timesheet_id"]),
     }
     lines = []
     for (source, table), (required, optional) in tables.items():
         for needed, columns in ((True, required), (False, optional)):
-            for column in columns.split():
+            for column in columns:
                 passed = f"count(*) = count({column})" if needed else "TRUE"
                 lines.append(
                     f"SELECT '{table}' AS table_name, '{column}' AS column_name, {needed} AS is_required, "

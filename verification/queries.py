@@ -10,6 +10,7 @@ from rosterlake.operators import checks, keys
 from rosterlake.operators.asof import active_project
 from rosterlake.plans import calendar, facts, fx, gold, load, profile, schedule, silver
 from rosterlake.plans import projects as project_plans
+from rosterlake.plans.stored_views import store_views
 from rosterlake.schemas import EMPLOYEES, EXCHANGE_RATES, FX_KEY, NATURAL_KEY, PROJECTS
 from rosterlake.schemas import TABLES, TIMESHEETS
 from rosterlake.session import task_count, work_folder
@@ -541,3 +542,25 @@ def streaming_conflicts(lens):
                "hourly_rate_usd"]
     accepted = lake.read("fact_timesheets").filter("NOT is_correction").select(*columns, F.lit("accepted").alias("reason"))
     return accepted.unionByName(lake.read("quarantine_timesheets").select(*columns, "reason"))
+
+
+@query
+def gold_bucketed(lens):
+    """Gold over a fact in buckets of its id, which needs no shuffle to find the latest versions."""
+    lake = new_lake(lens.spark)
+    lake.append_clustered(lens.timesheets, "fact_by_id", ["timesheet_id"], ["emp_id", "project_id"],
+                          task_count(lens.spark))
+    return gold.gold_from_bronze(
+        lake.read("fact_by_id"), lens.employees, lens.projects, lens.exchange_rates)
+
+
+@query
+def gold_from_views(lens):
+    """Gold by name, from a session that knows the catalog only."""
+    lake = new_lake(lens.spark)
+    lake.append(lens.timesheets, "fact_timesheets")
+    for table, frame in (("dim_employees", lens.employees), ("dim_projects", lens.projects),
+                         ("dim_exchange_rates", lens.exchange_rates)):
+        lake.replace(frame, table)
+    store_views(lake)
+    return lens.spark.newSession().table(lake.name("gold_timesheets_enriched"))
