@@ -11,7 +11,8 @@ from rosterlake.constants import HISTORY_START
 from rosterlake.operators.asof import active_project
 from rosterlake.operators.checks import require_not_null, require_unique_facts, with_reason
 from rosterlake.operators.keys import duplicate_keys, fingerprint, row_id, stored_on_days
-from rosterlake.plans.facts import COLUMNS, apply_corrections, fact_metrics
+from rosterlake.plans.facts import COLUMNS, apply_corrections, fact_metrics, rate_card
+from rosterlake.plans.projects import client_projects
 from rosterlake.plans.schedule import judge_days
 from rosterlake.schemas import NATURAL_KEY, TIMESHEETS
 
@@ -27,6 +28,8 @@ class Inputs:
 
     entries: emp_id, work_date, base_hours, allocation_pct, is_billable, hourly_rate_usd.
     adjustments: emp_id, work_date, adjusted_hours.
+    projects: project_id, client_country; if given, the rate card sets the hourly rates, by the
+    project's market, the employee's designation and the year (see facts.rate_card).
     """
 
     employees: DataFrame
@@ -35,6 +38,7 @@ class Inputs:
     absences: DataFrame
     weekend_work: DataFrame
     adjustments: DataFrame
+    projects: DataFrame | None = None
 
 
 @dataclass
@@ -74,9 +78,19 @@ def judged_facts(inputs, first, last, batch_id, load_timestamp):
         inputs.absences, inputs.weekend_work,
     )
     staffed = active_project(entries, inputs.schedule)
+    if inputs.projects is not None:
+        staffed = card_rates(staffed, inputs.projects, inputs.employees)
     return with_reason(fact_metrics(staffed, batch_id, load_timestamp, keep=["reason"]))
 
 
+def card_rates(staffed, projects, employees):
+    """The entries with the hourly rate of the card; unknown markets and designations take its defaults."""
+    markets = client_projects(projects)
+    known = employees.select("emp_id", "designation")
+    entries = staffed.drop("hourly_rate_usd", "client_country", "designation")
+    return rate_card(entries.join(markets, "project_id", "left").join(known, "emp_id", "left"))
+
+
 def settle(judged):
     """Judged rows with keys that occur more than once decided: a reason for all but one row per key.
 

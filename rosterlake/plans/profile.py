@@ -160,3 +160,18 @@ def batches(timesheets, rows=10):
         "batch_id",
         rows=rows,
     )
+
+
+def daily_id_sketches(timesheets, size=14):
+    """One mergeable sketch of the ids of each day, of 2**size registers: some kilobytes at most, however many rows a day has.
+
+    Kept as a table and appended to by day, it answers how many distinct ids any range of days has
+    without the fact; the standard error is about 1.04 / sqrt(2**size), 0.8 % by default.
+    """
+    return timesheets.groupBy("work_date").agg(
+        F.hll_sketch_agg("timesheet_id", F.lit(size)).alias("id_sketch"), F.count(F.lit(1)).alias("row_count"))
+
+
+def distinct_ids(sketch):
+    """The estimate over a group of sketches."""
+    return F.hll_sketch_estimate(F.hll_union_agg(sketch))

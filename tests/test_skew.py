@@ -16,7 +16,7 @@ from verification.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {"load_append_fact", "fact_partitioned_write", "fact_schema_evolve", "load_audit",
           "incremental_load", "streaming_load", "load_quarantine", "streaming_conflicts",
-          "gold_from_views"}
+          "gold_from_views", "daily_run"}
 
 
 @pytest.fixture

@@ -338,6 +338,45 @@ ORACLES = {
                isodow(work_date) >= 6 AS is_weekend_work, entry_type = 'correction' AS is_correction,
                entry_type, original_timesheet_id
         FROM (SELECT * FROM originals UNION ALL BY NAME SELECT * FROM fixes)""",
+    "daily_run": f"""
+        , timeline AS ({_SCHEDULE.format(horizon="DATE '2001-12-31'", history="DATE '1995-01-01'")}),
+        bands(market, low, high) AS (VALUES
+          ('USA', 55, 95), ('United Kingdom', 50, 85), ('Australia', 50, 80), ('Canada', 48, 80),
+          ('Germany', 45, 75), ('Netherlands', 45, 75), ('United Arab Emirates', 42, 70),
+          ('Saudi Arabia', 40, 68), ('Singapore', 38, 65), ('Qatar', 40, 65)),
+        factors(designation, factor) AS (VALUES
+          ('consultant', 0.90e0), ('Analyst', 1.00e0), ('MANAGER', 1.40e0), ('manager', 1.40e0),
+          ('SENIOR ANALYST', 1.30e0)),
+        open_entries AS (
+          SELECT d.*, e.designation FROM wf_daily_entries d JOIN wf_employees e ON d.emp_id = e.emp_id
+          WHERE d.work_date >= greatest(e.join_date, DATE '1995-01-01') AND d.work_date <= DATE '2001-12-31'
+            AND (isodow(d.work_date) < 6 OR (d.emp_id, d.work_date) IN (SELECT (emp_id, work_date) FROM wf_weekend_work))
+            AND (d.emp_id, d.work_date) NOT IN (SELECT (emp_id, work_date) FROM wf_absences)),
+        placed AS (
+          SELECT o.*, CASE WHEN o.work_date <= t.end_date THEN t.project_id END AS project_id
+          FROM open_entries o ASOF LEFT JOIN timeline t ON o.emp_id = t.emp_id AND o.work_date >= t.start_date),
+        staffed AS (
+          SELECT p.* EXCLUDE (hourly_rate_usd, designation),
+                 r2((coalesce(b.low, 40) + coalesce(b.high, 65)) / 2e0 * 1.26e0 * coalesce(f.factor, 1e0), 2) AS hourly_rate_usd
+          FROM placed p LEFT JOIN wf_markets m ON p.project_id = m.project_id
+          LEFT JOIN bands b ON m.client_country = b.market
+          LEFT JOIN factors f ON p.designation = f.designation),
+        m AS ({_METRICS.format(entries='staffed')}),
+        originals AS (
+          SELECT *, 'original' AS entry_type FROM m
+          WHERE abs(hours_worked) <= 8 AND allocation_pct > 0 AND allocation_pct <= 1),
+        fixes AS (
+          SELECT o.emp_id, o.work_date, project_id, is_billable, allocation_pct, hourly_rate_usd,
+                 {_DELTA} AS hours_worked,
+                 sha256(o.emp_id || '|' || o.work_date || '|correction') AS timesheet_id, 'correction' AS entry_type
+          FROM originals o JOIN wf_daily_adjustments a ON o.emp_id = a.emp_id AND o.work_date = a.work_date
+          WHERE o.hours_worked > 0)
+        SELECT timesheet_id, emp_id, work_date, project_id, entry_type, hours_worked, hourly_rate_usd,
+               {_REVENUE.format(h='hours_worked')} AS revenue_usd
+        FROM (SELECT * FROM originals UNION ALL BY NAME SELECT * FROM fixes)""",
+    "profile_uuid_sketches": """
+        SELECT year(work_date) AS year, count(DISTINCT timesheet_id) AS distinct_ids, TRUE AS estimate_is_near
+        FROM wf_timesheets GROUP BY ALL""",
     "streaming_load": f"""
         , daily AS (SELECT *, own_project AS project_id FROM wf_daily_entries),
         m AS ({_METRICS.format(entries='daily')})

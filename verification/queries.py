@@ -1,5 +1,6 @@
 """One query per operator, over the whole lens tables of a data folder."""
 
+import dataclasses
 import datetime as dt
 import uuid
 
@@ -10,6 +11,8 @@ from rosterlake.operators import checks, keys
 from rosterlake.operators.asof import active_project
 from rosterlake.plans import calendar, facts, fx, gold, load, profile, schedule, silver
 from rosterlake.plans import projects as project_plans
+from rosterlake.plans.daily import Sources
+from rosterlake.plans.daily import daily_run as run_day
 from rosterlake.plans.stored_views import store_views
 from rosterlake.schemas import EMPLOYEES, EXCHANGE_RATES, FX_KEY, NATURAL_KEY, PROJECTS
 from rosterlake.schemas import TABLES, TIMESHEETS
@@ -564,3 +567,37 @@ def gold_from_views(lens):
         lake.replace(frame, table)
     store_views(lake)
     return lens.spark.newSession().table(lake.name("gold_timesheets_enriched"))
+
+
+@query
+def daily_run(lens):
+    """Two days of the daily run, the first of which fails at its facts and is resumed."""
+    sources = Sources(
+        lens.employees, lens.clients.drop("client_country").join(lens.markets, "project_id"), month_documents(lens),
+        lens.cycles, lens.assignments, lens.daily_entries.drop("hourly_rate_usd"), lens.absences, lens.weekend_work,
+        lens.daily_adjustments, dt.date(1995, 1, 1),
+    )
+    lake = new_lake(lens.spark)
+    broken = lens.daily_entries.withColumn("base_hours", F.raise_error(F.lit("unreadable")).cast("double"))
+    try:
+        run_day(lake, dataclasses.replace(sources, entries=broken), dt.date(1998, 6, 30))
+    except Exception as error:
+        if "unreadable" not in str(error):
+            raise
+    for today in (dt.date(1998, 6, 30), dt.date(2001, 12, 31), dt.date(2001, 12, 31)):
+        run_day(lake, sources, today)
+    return lake.read("fact_timesheets").select(
+        "timesheet_id", "emp_id", "work_date", "project_id", "entry_type", "hours_worked", "hourly_rate_usd",
+        "revenue_usd")
+
+
+@query
+def profile_uuid_sketches(lens):
+    """Distinct ids by year from daily sketches, held against the exact count."""
+    daily = profile.daily_id_sketches(lens.timesheets)
+    years = daily.withColumn("year", F.year("work_date").cast("long")).groupBy("year")
+    estimated = years.agg(profile.distinct_ids(F.col("id_sketch")).alias("estimate"))
+    exact = lens.timesheets.groupBy(F.year("work_date").cast("long").alias("year")).agg(
+        F.count_distinct("timesheet_id").alias("distinct_ids"))
+    near = F.abs(F.col("estimate") - F.col("distinct_ids")) <= F.col("distinct_ids") * 0.03
+    return exact.join(estimated, "year").select("year", "distinct_ids", near.alias("estimate_is_near"))
