@@ -4,29 +4,27 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rosterlake.constants import BASE_CURRENCY, FX_CURRENCIES
+from rosterlake.functions.numbers import usd_per_unit
 from rosterlake.operators.checks import require_unique_rates
 from rosterlake.operators.keys import missing_keys
 from rosterlake.plans.calendar import series
 from rosterlake.schemas import EXCHANGE_RATES, FX_KEY
-from rosterlake.sources.fx_documents import explode_rates, is_complete
+from rosterlake.sources.fx_documents import is_complete
 
+STAGING = "staging_exchange_rates"
 _COLUMNS = [f.name for f in EXCHANGE_RATES.fields]
 
 
-def _base_rates(months):
-    return months.select(
-        "fx_month",
-        F.lit(BASE_CURRENCY).alias("base_currency"),
-        F.lit(BASE_CURRENCY).alias("currency_code"),
-        F.lit(1.0).alias("rate_to_usd"),
-    )
-
-
 def fetched_rates(documents):
-    """Rates of the months with a complete document, the base currency at 1.0 added."""
-    quoted = explode_rates(documents, "fx_month").withColumn("base_currency", F.lit(BASE_CURRENCY))
-    months = documents.filter(is_complete(F.col("rates"))).select("fx_month")
-    return quoted.select(*_COLUMNS).unionByName(_base_rates(months))
+    """Rates of the months with a complete document, the base currency at 1.0 added; one pass."""
+    quoted = F.transform(F.map_entries("rates"), lambda e: F.struct(
+        e["key"].alias("currency_code"), usd_per_unit(e["value"]).alias("rate_to_usd")))
+    base = F.array(F.struct(F.lit(BASE_CURRENCY).alias("currency_code"), F.lit(1.0).alias("rate_to_usd")))
+    return (
+        documents.filter(is_complete(F.col("rates")) & F.col("fx_month").isNotNull())
+        .select("fx_month", F.lit(BASE_CURRENCY).alias("base_currency"), F.inline(F.concat(quoted, base)))
+        .select(*_COLUMNS)
+    )
 
 
 def carry_forward(fetched, bounds, currencies=FX_CURRENCIES, fill_gaps=False):
@@ -36,34 +34,30 @@ def carry_forward(fetched, bounds, currencies=FX_CURRENCIES, fill_gaps=False):
     and does not erase the memory of the currency. Rows of an outage month whose
     currency was never known come out with a null rate: see require_known_rates.
 
-    The windows hold one currency's months, so their size is set by the calendar.
+    The fetched rates are read once, as one list per month, no longer than the list of
+    currencies; the windows hold one currency's months, so their size is set by the calendar.
     """
     months = series(bounds, F.col("first_day"), F.col("last_day"), months=True, name="fx_month")
-    months = months.select("fx_month")
-    present = fetched.select("fx_month").distinct().withColumn("was_fetched", F.lit(True))
-    spine = months.join(present, "fx_month", "left").withColumn(
-        "currency_code", F.explode(F.array(*[F.lit(c) for c in currencies]))
-    )
+    quote = F.struct("currency_code", F.col("rate_to_usd").alias("_quoted"))
+    by_month = fetched.groupBy("fx_month").agg(F.collect_list(quote).alias("_quotes"))
+    base = F.lit(BASE_CURRENCY)
+    only_base = F.array(F.struct(base.alias("currency_code"), F.lit(1.0).alias("_quoted")))
+    held = F.coalesce("_quotes", only_base)
+    absent = F.array_except(F.array(*[F.lit(c) for c in currencies]), held["currency_code"])
+    nothing = F.lit(None).cast("double").alias("_quoted")
+    every = F.concat(held, F.transform(absent, lambda c: F.struct(c.alias("currency_code"), nothing)))
+    spine = months.select("fx_month").join(by_month, "fx_month", "left").select(
+        "fx_month", F.col("_quotes").isNull().alias("_outage"), F.inline(every))
     so_far = (
         Window.partitionBy("currency_code")
         .orderBy("fx_month")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    quoted = fetched.select(*FX_KEY, F.col("rate_to_usd").alias("quoted"))
-    known = spine.join(quoted, FX_KEY, "left").withColumn(
-        "rate_to_usd", F.last("quoted", ignorenulls=True).over(so_far)
-    )
-    wanted = F.col("was_fetched").isNull()
+    known = spine.withColumn("rate_to_usd", F.last("_quoted", ignorenulls=True).over(so_far))
+    wanted = F.col("_quoted").isNotNull() | F.col("_outage")
     if fill_gaps:
-        wanted = F.col("quoted").isNull() & (wanted | F.col("rate_to_usd").isNotNull())
-    filled = known.filter(wanted).withColumn("base_currency", F.lit(BASE_CURRENCY))
-    outage = months.join(present, "fx_month", "left_anti")
-    in_range = fetched.join(months, "fx_month", "left_semi")
-    return (
-        in_range.select(*_COLUMNS)
-        .unionByName(filled.select(*_COLUMNS))
-        .unionByName(_base_rates(outage))
-    )
+        wanted = wanted | F.col("rate_to_usd").isNotNull()
+    return known.filter(wanted).withColumn("base_currency", base).select(*_COLUMNS)
 
 
 def require_known_rates(rates):
@@ -88,11 +82,17 @@ def new_rates(rates, existing):
 
 
 def load_exchange_rates(lake, documents, bounds, currencies=FX_CURRENCIES):
-    """Build, check, and append the missing months; returns the number of new rows."""
-    fetched = fetched_rates(documents)
+    """Build, check, and append the missing months; returns the number of new rows.
+
+    The documents are read once, into a staging table that the checks and the append read.
+    """
+    lake.replace(fetched_rates(documents), STAGING, EXCHANGE_RATES)
+    fetched = lake.read(STAGING)
     require_unique_rates(fetched)
     rates = carry_forward(fetched, bounds, currencies)
     require_known_rates(rates)
-    return lake.append(
+    count = lake.append(
         new_rates(rates, lake.read_or_empty("dim_exchange_rates")), "dim_exchange_rates"
     )
+    lake.drop(STAGING)
+    return count

@@ -6,7 +6,7 @@ from rosterlake.operators.checks import require_unique_rates
 from rosterlake.plans import calendar, fx
 from rosterlake.schemas import EXCHANGE_RATES, FX_DOCUMENT
 from rosterlake.sources import fx_documents
-from tests.conftest import day, rows
+from tests.conftest import day, plan, rows
 
 PAIR = ("PKR", "GBP")
 
@@ -132,3 +132,26 @@ def test_calendar(spark):
     assert got[1] == (day("2024-02-29"), 2024, 1, 2, "February", "Thursday", False)
     assert got[3][5:] == ("Saturday", True)
     assert calendar.dim_date(calendar.date_bounds(spark, day("2024-03-02"), day("2024-03-01"))).count() == 0
+
+
+def test_bad_files_are_outages_and_reported(spark, lake, tmp_path):
+    for name, text in (("2024-01-01", '{"rates": {"PKR": 250.0, "GBP": 0.8}}'), ("2024-02-01", "{broken"),
+                       ("2024-03-01", '{"rates": {"PKR": 0.0}}'), ("2024-04-01", '{"other": 1}'),
+                       ("undated", '{"rates": {"PKR": 1.0}}')):
+        (tmp_path / f"{name}.json").write_text(text)
+    docs = fx_documents.read_dated_documents(spark, str(tmp_path))
+    assert rows(fx_documents.document_faults(docs), "fx_month", "reason") == sorted([
+        (month(2), "not a JSON document"), (month(3), "a rate without reciprocal"), (month(4), "no rates"),
+        (None, "no month in the name")], key=repr)
+    bounds = calendar.date_bounds(spark, month(1), month(4))
+    assert fx.load_exchange_rates(lake, docs, bounds, PAIR) == 12
+    assert {r["rate_to_usd"] for r in lake.read("dim_exchange_rates").filter("currency_code = 'PKR'").collect()} == {0.004}
+    assert lake.tables("staging") == []
+
+
+def test_rates_come_from_one_scan_of_the_documents(spark, tmp_path):
+    (tmp_path / "2024-01-01.json").write_text('{"rates": {"PKR": 250.0, "GBP": 0.8}}')
+    docs = fx_documents.read_dated_documents(spark, str(tmp_path))
+    rates = fx.carry_forward(fx.fetched_rates(docs), calendar.date_bounds(spark, month(1), month(4)), PAIR)
+    assert plan(rates).count("FileScan") == 1
+    assert rates.count() == 12

@@ -172,6 +172,24 @@ ORACLES = {
         FROM outage o ASOF LEFT JOIN fetched f ON o.currency_code = f.currency_code AND o.fx_month >= f.fx_month
         UNION ALL
         SELECT fx_month, 'USD', 'USD', 1e0 FROM turns""",
+    "fx_load_documents": """
+        , turns AS (SELECT DISTINCT fx_month, (year(fx_month) * 12 + month(fx_month)) % 9 AS turn FROM wf_exchange_rates),
+        fetched AS (
+          SELECT x.fx_month, x.currency_code,
+                 r2(1e0 / r2(1e0 / x.rate_to_usd, 6), 6) AS rate_to_usd
+          FROM wf_exchange_rates x JOIN turns t ON x.fx_month = t.fx_month
+          WHERE turn NOT IN (4, 5) AND x.currency_code <> 'USD'),
+        outage AS (
+          SELECT fx_month, unnest(['PKR', 'GBP', 'EUR', 'AED', 'SAR', 'SGD']) AS currency_code
+          FROM turns WHERE turn IN (4, 5))
+        SELECT r.*, CASE turn WHEN 4 THEN 'not a JSON document' WHEN 5 THEN 'a rate without reciprocal' END AS fault
+        FROM (
+        SELECT fx_month, 'USD' AS base_currency, currency_code, rate_to_usd FROM fetched
+        UNION ALL
+        SELECT o.fx_month, 'USD', o.currency_code, f.rate_to_usd
+        FROM outage o ASOF LEFT JOIN fetched f ON o.currency_code = f.currency_code AND o.fx_month >= f.fx_month
+        UNION ALL
+        SELECT fx_month, 'USD', 'USD', 1e0 FROM turns) r JOIN turns t ON r.fx_month = t.fx_month""",
     "fx_new_keys": """
         SELECT * FROM wf_exchange_rates WHERE fx_month >= DATE '1999-01-01' AND currency_code <> 'GBP'""",
     "fx_duplicate_keys": """

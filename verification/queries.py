@@ -601,3 +601,20 @@ def profile_uuid_sketches(lens):
         F.count_distinct("timesheet_id").alias("distinct_ids"))
     near = F.abs(F.col("estimate") - F.col("distinct_ids")) <= F.col("distinct_ids") * 0.03
     return exact.join(estimated, "year").select("year", "distinct_ids", near.alias("estimate_is_near"))
+
+
+@query
+def fx_load_documents(lens):
+    """Dated files, some of them broken, into the rate table; a second load appends nothing."""
+    lake = new_lake(lens.spark)
+    folder = work_folder(lens.spark)
+    good = month_documents(lens).select("fx_month", F.to_json(F.struct("rates")).alias("value"))
+    months = lens.exchange_rates.select("fx_month").distinct()
+    broken = months.join(good, "fx_month", "left_anti").withColumn("value", F.lit('{"rates": {"PKR": '))
+    good.unionByName(broken).repartition("fx_month").write.partitionBy("fx_month").text(folder)
+    documents = fx_documents.read_dated_documents(lens.spark, folder)
+    bounds = fact_bounds(lens).withColumn("first_day", F.trunc("first_day", "MM"))
+    for _ in range(2):
+        fx.load_exchange_rates(lake, documents, bounds)
+    faults = fx_documents.document_faults(documents).groupBy("fx_month").agg(F.max("reason").alias("fault"))
+    return lake.read("dim_exchange_rates").join(faults, "fx_month", "left")
