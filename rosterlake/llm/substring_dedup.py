@@ -40,7 +40,7 @@ from .common import stored, table
 WINDOW = 20
 GRAM = 10
 CELL = 256
-PACK_WORDS = 1 << 22
+PACK_WORDS = 1 << 21
 PACK_DOCS = 1 << 20
 LAST = np.iinfo(np.int64).max
 
