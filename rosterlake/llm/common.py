@@ -21,6 +21,12 @@ def stored(frame, folder=None):
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discarded(spark, folder):
+    """Remove a work folder that no frame in use reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words(text):
     """Lower-case words of a text; null counts as empty."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))

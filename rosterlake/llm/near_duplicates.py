@@ -2,32 +2,38 @@
 
 A text's words form k-mers, labelled by their occurrence. Each of SLOTS hash functions
 takes the SAMPLED least labelled k-mers and keeps their order in the text; equal ordered
-samples make candidates. A bucket links its members to one hub, then to at most HUBS a round, so that a
-round's work is linear in its size; members that fail everywhere meet new hubs in the next round, until none is left.
+samples make candidates. A bucket compares its members with one hub. Those that differ from it meet again in smaller
+buckets, by REFINED samples of the k-mers the hub lacks, and by length: a passage that unlike texts share brings them
+together once, and what they share beyond it decides where they meet next. Members near the hub go on as well, to buckets
+that hold one that is not, so that a link past the hub is found. The hub leaves, so this ends. Each round is linear in the
+buckets' sizes and compares a pair once.
 Candidates are verified by banded alignment of their words: similarity is one minus the
 edit distance over the longer length. Links join into classes.
 
 Texts are compared by their lower-case words. Null texts and texts without words are copies of
-nothing. Equal texts are one node. A document with a null doc_id takes part, but a class is named by its least
-doc_id. Texts with fewer words than a k-mer have one k-mer, the whole text.
+nothing. Equal texts are one node. Rows are told apart by a number of their own, so a doc_id may be null or shared by unlike
+texts; a class is named by its least doc_id. Texts with fewer words than a k-mer have one k-mer, the whole text.
 """
 
+import math
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.session import work_folder
 
-from .common import stored, table
+from .common import discarded, stored, table
 
 SHINGLE = 5
-SAMPLED = 3
-SLOTS = 24
+SAMPLED = 2
+SLOTS = 32
+REFINED = 16
 SIMILARITY = 0.8
-HUBS = 32  # in a bucket, from the second round on
 
 KNOWN = 200000  # word hashes a task remembers
 CELLS = 1 << 21  # of a table that is filled at once
@@ -72,15 +78,19 @@ def _least(hashed, taken):
     return np.argpartition(hashed, taken - 1, axis=1)[:, :taken]
 
 
-def sketch(tokens, shingle=SHINGLE, sampled=SAMPLED, slots=SLOTS):
-    """The ordered samples of a text's labelled k-mers, one hash per slot."""
-    values = np.array(tokens, dtype=np.uint64)
+def _kmers(values, shingle=SHINGLE):
+    """One hash per k-mer of a text's tokens."""
     width = min(shingle, len(values))
     kmers = np.zeros(len(values) - width + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for i in range(width):
             kmers = kmers * _MIX + values[i:len(values) - width + 1 + i]
-        kmers = _mixed(kmers)
+        return _mixed(kmers)
+
+
+def sketch(kmers, sampled=SAMPLED, slots=SLOTS):
+    """The ordered samples of labelled k-mers, one hash per slot."""
+    with np.errstate(over="ignore"):
         labelled = _mixed(kmers + _occurrences(kmers) * _MIX)
         taken = min(sampled, len(kmers))
         picks = np.empty((slots, taken), dtype=np.int64)
@@ -96,27 +106,30 @@ def sketch(tokens, shingle=SHINGLE, sampled=SAMPLED, slots=SLOTS):
     return keys.astype(np.int64)
 
 
+def _tokens(stored_tokens):
+    return np.frombuffer(stored_tokens, dtype=np.int32).astype(np.uint64)
+
+
 def _sketches(batches):
     known = {}
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
             found = _WORD.findall((text or "").lower())
             if found:
-                node = xxhash.xxh3_128_hexdigest(" ".join(found))
+                whole = xxhash.xxh3_128_intdigest(" ".join(found))
+                high, low = np.array([whole >> 64, whole & (1 << 64) - 1], dtype=np.uint64).astype(np.int64)
                 if len(known) > KNOWN:
                     known.clear()
                 for word in found:
                     if word not in known:
                         known[word] = xxhash.xxh3_64_intdigest(word)
-                tokens = [known[w] for w in found]
-                small = np.array(tokens, dtype=np.uint64).astype(np.int32).tobytes()
-                rows.append((doc_id, node, sketch(tokens), small))
+                small = np.array([known[w] for w in found], dtype=np.uint64).astype(np.int32).tobytes()
+                rows.append((row, doc_id, high, low, sketch(_kmers(_tokens(small))), small))
             else:
-                rows.append((doc_id, None, None, None))
-        out = pd.DataFrame(rows, columns=["doc_id", "node", "keys", "tokens"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+                rows.append((row, doc_id, None, None, None, None))
+        out = pd.DataFrame(rows, columns=["row", "doc_id", "high", "low", "keys", "tokens"])
+        yield out.astype({"doc_id": "Int64", "high": "Int64", "low": "Int64"})
 
 
 def _within(a, b, band):
@@ -205,11 +218,35 @@ def similarity(a, b, least=SIMILARITY):
         band *= 4
 
 
+def _refined(tokens, hub_kmers, near):
+    """Keys of the buckets a member goes on to: samples of what the hub lacks, or of all if it lacks nothing, by length.
+
+    Two bands of lengths each, so that lengths within SIMILARITY of one another share one. None for a near member
+    that has nothing of its own.
+    """
+    kmers = _kmers(tokens)
+    own = kmers[hub_kmers[np.minimum(np.searchsorted(hub_kmers, kmers), len(hub_kmers) - 1)] != kmers]
+    if not len(own):
+        if near:
+            return None
+        own = kmers
+    keys = sketch(own, slots=REFINED).astype(np.uint64)
+    band = int(math.log(len(tokens)) / math.log(1.0001 / SIMILARITY))
+    with np.errstate(over="ignore"):
+        both = _mixed(keys + np.array([[band], [band + 1]], dtype=np.uint64) * _MIX)
+    return both.ravel().astype(np.int64)
+
+
 def _verified(batches):
     for batch in batches:
-        near = [similarity(np.frombuffer(a, dtype=np.int32), np.frombuffer(b, dtype=np.int32)) >= SIMILARITY
-                for a, b in zip(batch["hub_tokens"], batch["tokens"])]
-        yield pd.DataFrame({"hub": batch["hub"], "node": batch["node"], "near": near})
+        hubs, near, keys = {}, [], []
+        for hub, held, tokens in zip(batch["hub"], batch["hub_tokens"], batch["tokens"]):
+            if hub not in hubs:
+                hubs.clear()
+                hubs[hub] = np.frombuffer(held, dtype=np.int32), np.unique(_kmers(_tokens(held)))
+            near.append(similarity(hubs[hub][0], np.frombuffer(tokens, dtype=np.int32)) >= SIMILARITY)
+            keys.append(_refined(_tokens(tokens), hubs[hub][1], near[-1]))
+        yield pd.DataFrame({"hub": batch["hub"], "node": batch["node"], "paths": batch["paths"], "near": near, "keys": keys})
 
 
 def components(edges, folder):
@@ -230,56 +267,79 @@ def components(edges, folder):
             return roots
 
 
-def near_duplicate_classes(docs):
-    """One row per document: doc_id, class_id and n_links, its text's links to other texts."""
-    folder = work_folder(docs.sparkSession)
-    base = stored(docs.select("doc_id", "text").mapInPandas(
-        _sketches, "doc_id bigint, node string, keys array<bigint>, tokens binary"), folder)
-    texts = base.where(F.col("node").isNotNull())
-    nodes = stored(texts.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), folder)
-    members = nodes.select("node", F.explode("keys").alias("key"))
-    links, hubs_each = None, 1
+def _links(base, nodes, folder):
+    """Verified links between nodes: a and b, a below b."""
+    tokens = base.select(F.col("row").alias("node"), "tokens")
+    # A path stands for the hubs that a member has met on its way into a bucket.
+    members = nodes.select(F.lit(0).cast("long").alias("path"), F.explode("keys").alias("key"), "node",
+                           F.lit(False).alias("near"))
+    rounds = []
     while True:
-        share = F.pmod(F.xxhash64("node"), F.lit(hubs_each))
-        hubs = members.groupBy("key", share.alias("share")).agg(F.min("node").alias("hub")).drop("share")
-        met = stored(members.join(hubs, "key"), folder)
-        pairs = met.where(F.col("node") != F.col("hub")).select("hub", "node").distinct()
-        needed = pairs.select("node").union(pairs.select("hub")).distinct()
-        tokens = stored(texts.select("node", "tokens").join(needed, "node", "left_semi").groupBy("node").agg(
-            F.first("tokens").alias("tokens")), folder)
-        checked = stored(
-            pairs.join(tokens, "node")
-            .join(tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub")
-            .mapInPandas(_verified, "hub string, node string, near boolean"), folder)
-        found = checked.where("near").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-        links = found if links is None else links.unionByName(found)
-        # A hub has met all of its bucket; the others stay until one hub is near.
-        done = F.max(F.coalesce("near", F.col("hub") == F.col("node")))
-        members = stored(met.join(checked, ["hub", "node"], "left").groupBy("key", "node").agg(done.alias("done"))
-                         .where("NOT done").select("key", "node"), folder)
-        if members.isEmpty():
+        buckets = members.groupBy("key").agg(
+            F.min(F.when(~F.col("near"), F.col("node"))).alias("hub"), F.count(F.lit(1)).alias("size")
+        ).where("size > 1 AND hub IS NOT NULL").select("key", "hub")
+        pairs = stored(members.join(buckets, "key").where("node != hub").groupBy("hub", "node").agg(
+            F.collect_set("path").alias("paths")), folder)
+        if pairs.isEmpty():
             break
-        hubs_each = HUBS
-    links = stored(links.distinct(), folder)
+        hub_tokens = tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
+        checked = stored(pairs.join(tokens, "node").join(hub_tokens, "hub").mapInPandas(
+            _verified, "hub bigint, node bigint, paths array<bigint>, near boolean, keys array<bigint>"), folder)
+        rounds.append(checked)
+        further = checked.select("hub", "node", "near", "keys", F.explode("paths").alias("path")).select(
+            F.xxhash64("path", "hub").alias("path"), F.explode("keys").alias("key"), "node", "near")
+        members = further.withColumn("key", F.xxhash64("path", "key"))
+    found = [c.where("near").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+             for c in rounds]
+    nothing = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
+    return stored(reduce(DataFrame.unionByName, found, nothing).distinct(), folder)
+
+
+def _classes(numbered):
+    """Rows with row, doc_id and text: row, doc_id, class_id, n_links and stays, whether the row is its class's first.
+
+    What the work stores on its way is removed once the result is stored.
+    """
+    spark = numbered.sparkSession
+    folder = work_folder(spark)
+    base = stored(numbered.mapInPandas(
+        _sketches, "row bigint, doc_id bigint, high bigint, low bigint, keys array<bigint>, tokens binary"), folder)
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    nodes = stored(base.where(F.col("high").isNotNull()).groupBy("high", "low").agg(
+        F.min("row").alias("node"), F.min_by("keys", "row").alias("keys"), F.min(first).alias("first")), folder)
+    links = _links(base, nodes, folder)
     roots = components(links, folder)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
         F.count("*").alias("n_links"))
-    rooted = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn(
+    rooted = nodes.select("high", "low", "node", "first").join(roots, "node", "left").join(degree, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    per_node = rooted.select("node", "root").join(named, "root").join(degree, "node", "left").select(
-        "node", "class_id", "n_links")
-    return base.select("doc_id", "node").join(per_node, "node", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("named"))
+    per_node = rooted.join(named, "root").select("high", "low", "named", "n_links")
+    result = stored(base.select("row", "doc_id", "high", "low").join(per_node, ["high", "low"], "left").select(
+        "row", "doc_id", F.coalesce("named.doc_id", "doc_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce(F.col("named.row") == F.col("row"), F.lit(True)).alias("stays")))
+    discarded(spark, folder)
+    return result
+
+
+def near_duplicate_classes(docs):
+    """One row per row: doc_id, class_id and n_links, the verified links of its text, enough to hold its class together."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return _classes(numbered).select("doc_id", "class_id", "n_links")
 
 
 def one_of_each(docs):
-    """Keeps the document with the least doc_id of each class, and those without a doc_id."""
-    classes = near_duplicate_classes(docs)
-    gone = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id")
-    kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Keeps one row of each class, that with the least doc_id, nulls last, and all texts without words."""
+    row = "_row"
+    while row in [c.lower() for c in docs.columns]:
+        row = "_" + row
+    # Numbers are given once: a second reading might deal the rows otherwise.
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    classes = _classes(numbered.select(F.col(row).alias("row"), "doc_id", "text"))
+    # Stored, so that its size is known when the join is planned.
+    gone = stored(classes.where(~F.col("stays")).select(F.col("row").alias(row)))
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def op3_near_duplicates(spark, sf_dir):
