@@ -13,7 +13,7 @@ columns of the documents are kept; `contaminated` and `items` are replaced.
 
 from pyspark.sql import functions as F
 
-from .common import table, words
+from .common import stored, table, words
 
 MASKS = ("1101100101101", "1011010011011", "1110010110101")
 SPAN = 13
@@ -43,10 +43,10 @@ def contaminated_items(docs, benchmark, masks=MASKS, window=WINDOW, share=SHARE)
     test = benchmark.where(F.col("item_id").isNotNull()).select("item_id", F.transform(
         words(F.col("text")), lambda w: F.xxhash64(w)).alias("_words"))
     wanted = _exploded(test, "item_id", masks).select("item_id", F.col("_at").alias("_item_at"), "_seed")
-    # The join is planned by measured size: the benchmark is broadcast only below Spark's threshold.
+    # Joins are planned by measured size: benchmark and stored hits are broadcast only below Spark's threshold.
     hits = (_exploded(train, "doc_id", masks).join(wanted, "_seed")
             .select("doc_id", "item_id", "_at", "_item_at").distinct())
-    hits = hits.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "_at", "_item_at")).alias("_hits"))
+    hits = stored(hits.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "_at", "_item_at")).alias("_hits")))
     found = train.join(hits, "doc_id").select("doc_id", "_words", F.explode("_hits").alias("_hit"))
     span = len(masks[0])
     wide = found.select(
@@ -83,4 +83,5 @@ def op4_decontamination(spark, sf_dir):
 
 def without_contaminated(docs, benchmark):
     pairs = contaminated_items(docs.select("doc_id", "text"), benchmark)
-    return docs.join(pairs.select("doc_id").distinct(), "doc_id", "left_anti")
+    gone = stored(pairs.select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
