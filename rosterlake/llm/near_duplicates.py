@@ -282,7 +282,9 @@ def _links(base, nodes, folder):
             F.collect_set("path").alias("paths")), folder)
         if pairs.isEmpty():
             break
-        hub_tokens = tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
+        # Hubs are few: only their tokens meet the pairs.
+        hub_tokens = tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens")).join(
+            pairs.select("hub").distinct(), "hub", "left_semi")
         checked = stored(pairs.join(tokens, "node").join(hub_tokens, "hub").mapInPandas(
             _verified, "hub bigint, node bigint, paths array<bigint>, near boolean, keys array<bigint>"), folder)
         rounds.append(checked)
