@@ -121,10 +121,9 @@ def _sketches(batches):
                 high, low = np.array([whole >> 64, whole & (1 << 64) - 1], dtype=np.uint64).astype(np.int64)
                 if len(known) > KNOWN:
                     known.clear()
-                for word in found:
-                    if word not in known:
-                        known[word] = xxhash.xxh3_64_intdigest(word)
-                small = np.array([known[w] for w in found], dtype=np.uint64).astype(np.int32).tobytes()
+                for word in set(found).difference(known):
+                    known[word] = xxhash.xxh3_64_intdigest(word) & 0xFFFFFFFF
+                small = np.fromiter(map(known.__getitem__, found), dtype=np.uint32, count=len(found)).tobytes()
                 rows.append((row, doc_id, high, low, sketch(_kmers(_tokens(small))), small))
             else:
                 rows.append((row, doc_id, None, None, None, None))
@@ -199,14 +198,16 @@ def similarity(a, b, least=SIMILARITY):
     short = min(len(a), len(b))
     same = a[len(a) - short:][::-1] == b[len(b) - short:][::-1]
     tail = short if same.all() else int(np.argmin(same))
-    a, b = a[:len(a) - tail].astype(np.int64), b[:len(b) - tail].astype(np.int64)
+    a, b = a[:len(a) - tail], b[:len(b) - tail]
     if not len(a) or not len(b):
         return 1 - max(len(a), len(b)) / longest
-    kinds, index = np.unique(np.r_[a, b], return_inverse=True)
-    left = np.bincount(index[:len(a)], minlength=len(kinds))
-    right = np.bincount(index[len(a):], minlength=len(kinds))
-    if max(len(a), len(b)) - np.minimum(left, right).sum() > allowed:
+    kinds, left = np.unique(a, return_counts=True)
+    others, right = np.unique(b, return_counts=True)
+    place = np.minimum(np.searchsorted(others, kinds), len(others) - 1)
+    common = np.minimum(left, right[place])[others[place] == kinds].sum()
+    if max(len(a), len(b)) - common > allowed:
         return 0.0
+    a, b = a.astype(np.int64), b.astype(np.int64)
     band = 4
     while True:
         band = min(band, allowed)
