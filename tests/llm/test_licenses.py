@@ -1,0 +1,88 @@
+"""Licence scans against a plain comparison with every template, and their edge cases."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlake.llm import licenses
+
+TEXT_DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def words_of(text):
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def plain_best(text, templates, rarity, rarest):
+    """The best cosine over all stretches and templates, and its licence; compares everything."""
+    text = re.sub("(?i)licence", "license", text or "")
+    lines = {m.group() for m in re.finditer(licenses.HEADER, text)}
+    if not lines:
+        return None
+    anchor = re.compile(licenses.ANCHORS)
+    stretches = [words_of(text)]
+    for line in lines:
+        tokens = words_of(line)
+        stretches.append(tokens)
+        for size in licenses.WINDOWS:
+            stretches += [tokens[i:i + size] for i in range(len(tokens) - size + 1)
+                          if len(tokens) > size and any(anchor.match(w) for w in tokens[i:i + size])]
+    best = None
+    for tokens in filter(None, stretches):
+        vector = {w: n * rarity.get(w, rarest) for w, n in Counter(tokens).items()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        for license, counts, _ in templates:
+            other = {w: n * rarity[w] for w, n in counts}
+            length = math.sqrt(sum(v * v for v in other.values()))
+            cosine = round(sum(vector.get(w, 0.0) * v for w, v in other.items()) / norm / length, 6)
+            if cosine >= licenses.LEAST and (best is None or (-cosine, license) < best):
+                best = (-cosine, license)
+    return best
+
+
+def test_equals_the_comparison_with_every_template(spark):
+    templates = licenses.templates()
+    _, rarity, rarest = licenses._weighed(spark)
+    rng = random.Random(5)
+    texts = [None, "", "plain words", "A license of my own making", "the the the license the"]
+    for license, counts, whole in rng.sample([t for t in templates if not t[2]], 40):
+        tokens = [w for w, n in counts for _ in range(n)]
+        rng.shuffle(tokens)
+        filler = [f"x{rng.randrange(99)}" for _ in range(rng.randrange(4))]
+        texts.append("before\n" + " ".join(filler + tokens) + " licence\nafter")
+    rows = [(i, f"d{i}/f", t) for i, t in enumerate(texts)]
+    out = {r["n"]: r for r in licenses.scan(spark.createDataFrame(rows, "n int, path string, text string")).collect()}
+    assert len(out) == len(rows)
+    for n, _, text in rows:
+        want = plain_best(text, templates, rarity, rarest)
+        got = out[n]["license"] and (-out[n]["similarity"], out[n]["license"])
+        assert (got is None) == (want is None), text
+        if want:
+            assert got[0] == pytest.approx(want[0], abs=2e-6) and (got[1] == want[1] or abs(got[0] - want[0]) < 2e-6), text
+
+
+def test_only_whole_texts_speak_for_their_directory(spark):
+    mit = (licenses.TEXTS / "MIT.txt").read_text()
+    rows = [(1, "Released under the MIT License.", "en", "s", 0), (2, "words", "en", "s", 0),
+            (3, mit, "de", "s", 0), (4, "words", "de", "s", 0), (4, mit, "fr", "s", 0), (4, "words", "es", "s", 0),
+            (None, mit, "es", "t", 0), (None, None, "es", "t", 0), (None, "words", None, None, 0)]
+    out = licenses.document_licenses(spark.createDataFrame(rows, TEXT_DOCS)).select(
+        "doc_id", "license", "inherited_from").collect()
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(tuple, out), key=key) == sorted([
+        (1, "MIT", None), (2, None, None), (3, "MIT", None), (4, "MIT", "s/de"), (4, "MIT", None), (4, None, None),
+        (None, "MIT", None), (None, "MIT", "t/es"), (None, None, None)], key=key)
+
+
+def test_edges(spark):
+    schema = "path string, text string, license string, unit string, _row int, `row` int"
+    assert licenses.scan(spark.createDataFrame([], schema)).collect() == []
+    long = "word " * 200000 + "\nReleased under the MIT License.\n"
+    rows = [("a/x", long, "old", "u", 1, 2), ("a/x", long, "old", "u", 1, 2), (None, "words", None, None, None, None)]
+    out = licenses.scan(spark.createDataFrame(rows, schema))
+    assert out.columns == ["path", "text", "unit", "_row", "row", "license", "similarity", "inherited_from"]
+    assert [r["license"] for r in out.orderBy(F.col("path").asc_nulls_last()).collect()] == ["MIT", "MIT", None]
