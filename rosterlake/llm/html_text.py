@@ -5,7 +5,8 @@ blocks with stop words are good, blocks of links bad, short ones undecided. In t
 undecided blocks take the label of the decided neighbour fewest blocks away, good on a tie; inside the article one good
 neighbour is enough. An unclosed head ends at the first body element, another unclosed element without text at its parent's end, or
 before the next block where the parent is an article or the page. Blocks in menus, headers, footers, sidebars, forms, notices, adverts and
-comments of readers are bad whatever they hold, by element or by class and id words.
+comments of readers are bad whatever they hold, by element or by class and id words. A page with a quote that never ends in a tag
+is read without regard to quotes from there on; a second head is none.
 
 Null and empty pages have no text. Repeated rows get equal texts. Stop words are the
 words held by the most pages, learnt from the whole table. Other columns are kept; text and n_chars
@@ -14,6 +15,7 @@ are replaced.
 
 import html as entities
 from bisect import bisect_left
+from collections import Counter
 
 import pandas as pd
 import regex
@@ -32,11 +34,21 @@ SILENT = {"script", "style", "noscript", "template", "iframe", "svg", "head", "t
 BLOCKS = {"p", "div", "article", "section", "main", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "table", "tr",
           "td", "th", "blockquote", "pre", "dl", "dt", "dd", "figure", "figcaption", "header", "body", "html", "hr", "br"} | OUTSIDE
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
-MARKED = regex.compile(
-    r"(^|[\s_\-])(ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|side-?bar|footer|header|masthead|breadcrumbs?|cookies?|"
-    r"consent|notice|popup|modal|newsletter|subscribe|share|social|related|comments?|replies|disqus|widget)($|[\s_\-])")
-
-_TAG = regex.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", regex.S)
+_MARKS = (r"ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|side-?bar|footer|header|masthead|breadcrumbs?|cookies?|"
+          r"consent|notice|popup|modal|newsletter|subscribe|share|social|related|comments?|replies|disqus|widget")
+MARKED = regex.compile(rf"(^|[\s_\-])({_MARKS})($|[\s_\-])")
+# Inside the article, elements of prose are bad by a whole class word only: share-price is no share.
+MARKED_WHOLE = regex.compile(rf"(?<!\S)({_MARKS})(?!\S)")
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figure", "figcaption", "td", "th", "dt", "dd", "table", "tr"}
+
+_COMMENT, _SECTION, _MARK = r"<!--.*?(?:-->|$)|", r"<!\[CDATA\[.*?\]\]>|", r"<[!?][^>]*>|"
+# A tag that never ends, as a quote stays open, is the last alternative; from there on quotes have no meaning.
+_QUOTED = r"<(/?)([A-Za-z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(?P<open><(?=/?[A-Za-z]))"
+_PLAIN = r"<(/?)([A-Za-z][\w:-]*)([^<>]*)>(?P<open>(?!))?"
+# By whether quotes have a meaning and whether a section still ends.
+_TAGS = {(quoted, sections): regex.compile(
+    _COMMENT + (_SECTION if sections else "") + _MARK + (_QUOTED if quoted else _PLAIN), regex.S)
+    for quoted in (True, False) for sections in (True, False)}
 _SILENT_ENDS = {name: regex.compile(rf"</{name}\b[^>]*>", regex.I) for name in SILENT}
 _HEAD_NAMES = "title|script|style|noscript|template"
 _HEAD = regex.compile(
@@ -51,9 +63,40 @@ _WORDS = regex.compile(r"\p{L}+")
 _SPACE = regex.compile(r"\s+")
 
 
-def _silent_end(page, position, name, parent):
+class _Tags:
+    """The tags of one page from any place on. What a search of the rest of the page found out is kept, so that a page is
+    passed over a fixed number of times, whatever its markup."""
+
+    def __init__(self, page):
+        self.page, self.quoted, self.ends = page, True, {}
+        self.last = page.rfind(">")
+        # A section that never ends is a mark up to the next sign.
+        self.sections = page.rfind("]]>")
+
+    def after(self, position, end):
+        """The next tag before `end`, or None."""
+        while position < end:
+            if position > self.last:
+                # No tag ends any more; a comment runs to the end of the page.
+                start = self.page.find("<!--", position, end)
+                return _TAGS[False, False].match(self.page, start, end) if start >= 0 else None
+            match = _TAGS[self.quoted, position <= self.sections].search(self.page, position, end)
+            if match and match.group("open"):
+                self.quoted, position = False, match.start()
+                continue
+            return match
+        return None
+
+    def silent_end(self, name, position):
+        """The end tag of a silent element after a place; each is sought once."""
+        if name not in self.ends or self.ends[name] and self.ends[name].start() < position:
+            self.ends[name] = _SILENT_ENDS[name].search(self.page, position)
+        return self.ends[name]
+
+
+def _silent_end(tags, position, name, parent):
     """Where a silent element ends: after its end tag, or at its parent's end if that comes first."""
-    finish = _SILENT_ENDS[name].search(page, position)
+    page, finish = tags.page, tags.silent_end(name, position)
     if name == "head":
         start = _HEAD.match(page, position).end()
         limit = _HEAD_END.search(page, start)
@@ -62,8 +105,9 @@ def _silent_end(page, position, name, parent):
         return finish.end() if finish else position
     if finish and name in RAW:
         return finish.end()
-    depth = 0
-    for tag in _TAG.finditer(page, position, finish.start() if finish else len(page)):
+    depth, at, end = 0, position, finish.start() if finish else len(page)
+    while tag := tags.after(at, end):
+        at = tag.end()
         closing, inner = tag.group(1), (tag.group(2) or "").lower()
         if not finish and not closing and inner in BLOCKS and not depth and (
                 name == "svg" or parent in WIDE or parent == "p" or (inner == parent and inner in OPEN_ENDED)):
@@ -83,7 +127,7 @@ def _silent_end(page, position, name, parent):
 def blocks(page):
     """Blocks of a page in order: text, characters in links, whether it lies in an outside element, in a heading."""
     out, parts, links, stack = [], [], 0, []
-    position, end = 0, len(page)
+    position, end, tags, opened, headed = 0, len(page), _Tags(page), Counter(), False
 
     def inside():
         """Whether the open elements include a bad one, an article, a main part or article, a link."""
@@ -104,7 +148,7 @@ def blocks(page):
             links += len(piece.strip())
 
     while position < end:
-        match = _TAG.search(page, position)
+        match = tags.after(position, end)
         if not match:
             take(page[position:])
             break
@@ -114,27 +158,34 @@ def blocks(page):
         closing, name, attributes = match.group(1), (match.group(2) or "").lower(), match.group(3) or ""
         if not name:
             continue
+        if name == "head" and not closing:
+            if headed:
+                continue
+            headed = True
         if name in SILENT and not closing:
             if name in BLOCKS:
                 close()
             if not attributes.endswith("/"):
-                position = _silent_end(page, position, name, stack[-1][0] if stack else None)
+                position = _silent_end(tags, position, name, stack[-1][0] if stack else None)
             continue
         if name in BLOCKS and name != "br":
             close()
         elif name == "br":
             parts.append(" ")
         if closing:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None:
-                del stack[at:]
+            while opened[name]:
+                opened[stack[-1][0]] -= 1
+                if stack.pop()[0] == name:
+                    break
         elif name not in VOID and not attributes.endswith("/"):
             if name in ("p", "li", "tr", "td") and stack and stack[-1][0] == name:
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             marks = " ".join(next(g for g in m if g is not None and g != "") if any(m) else "" for m in _NAMED.findall(attributes)).lower()
             outer_bad, in_article, in_main, in_link = inside()
-            bad = outer_bad or name in OUTSIDE or (name == "header" and not in_article) or (
-                name not in ("html", "body", "article", "main") and bool(MARKED.search(marks)))
+            bad = outer_bad or name in OUTSIDE or (name == "header" and not in_main) or (
+                name not in ("html", "body", "article", "main") and bool(
+                    (MARKED_WHOLE if in_main and name in PROSE else MARKED).search(marks)))
+            opened[name] += 1
             stack.append((name, bad, in_article or name == "article", in_main or name in ("article", "main"),
                           in_link or name == "a"))
     close()
