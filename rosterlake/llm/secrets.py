@@ -87,8 +87,9 @@ def _class_of(char):
 
 
 def _bigrams(run):
-    return F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda i: _class_of(F.substring(run, i, 1)) * CLASSES
-                       + _class_of(F.substring(run, i + 1, 1)))
+    """Numbers of the pairs of neighbours; the run is split into characters once."""
+    return _let(F.transform(F.split(run, ""), _class_of), lambda classes: F.transform(
+        F.sequence(F.lit(0), F.size(classes) - 2), lambda i: F.get(classes, i) * CLASSES + F.get(classes, i + 1)))
 
 
 def train(docs, sample=SAMPLE, smoothing=5.0):
@@ -139,14 +140,19 @@ def find_secrets(docs, ratios, margin=MARGIN):
 
     value = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6
     every = F.lit(True)
-    # A piece counts where no longer stretch around it does.
-    runs, parts, words = (_spans(text, pattern, "markov", random) for pattern in PIECES)
 
-    def beside(inner, outer):
-        return F.filter(inner, lambda s: ~F.exists(outer, lambda o: (o["start"] <= s["start"]) & (s["end"] <= o["end"])))
-
-    markov = _let(F.struct(runs.alias("a"), parts.alias("b"), words.alias("c")), lambda f: _let(
-        F.concat(f["a"], beside(f["b"], f["a"])), lambda wide: F.concat(wide, beside(f["c"], wide))))
+    def judged(stretch, begin, patterns):
+        """Random stretches of the first pattern, and within the others those of the next patterns."""
+        def one(span):
+            start = begin + span["start"]
+            whole = F.array(F.struct(start.alias("start"), span["kind"].alias("kind"), (begin + span["end"]).alias("end"),
+                                     span["match"].alias("match")))
+            rest = judged(span["match"], start, patterns[1:]) if patterns[1:] else F.filter(whole, lambda s: F.lit(False))
+            return F.when(random(span["match"]), whole).otherwise(rest)
+        return F.flatten(F.transform(_spans(stretch, patterns[0], "markov", lambda m: every), one))
+
+    # A piece lies inside a longer stretch, so pieces are sought only there and no lists of spans are compared.
+    markov = judged(text, F.lit(0), PIECES)
     return docs.withColumn("found", F.array_sort(F.concat(
         _spans(text, ASSIGN, "assign", value), _spans(text, ACCESS, "access", lambda m: every),
         _spans(text, HEX, "hex", lambda m: every), markov)))
