@@ -13,7 +13,7 @@ from rosterlake.llm.common import stored, table
 from rosterlake.llm.decontamination import without_contaminated
 from rosterlake.llm.mixing import mix
 from rosterlake.llm.near_duplicates import one_of_each
-from rosterlake.llm.surrogates import distinct_surrogates
+from rosterlake.llm.surrogates import distinct_surrogates, surrogate_key
 from rosterlake.llm.toxicity import without_toxic
 
 
@@ -31,7 +31,7 @@ def decontamination(spark, docs, sf_dir):
 
 def personal_data(spark, docs, sf_dir):
     """Surrogates may change the text's length; n_chars follows."""
-    marked = distinct_surrogates(docs)
+    marked = distinct_surrogates(docs, surrogate_key(spark))
     return marked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -6,7 +6,7 @@ digits or letters goes through a keyed permutation of all strings of its length
 script, so equal entities get equal surrogates in every document (coreference) and
 different entities different ones; an IP address with leading zeros is the address without them. Names map word by word, given
 names within lists of their gender, names off the lists letter by letter. An entity without a character to permute becomes a keyed number. The only step that could make two surrogates meet is the second try for an entity
-that maps to itself, so all distinct entities are checked for collisions first, and a colliding key is changed, TRIES times at most; then the last key holds.
+that maps to itself, so all distinct entities are checked for collisions first, and a colliding key is changed; TRIES colliding keys are an error.
 
 Null text stays null, empty text empty. Repeated rows get equal results. Other columns are kept;
 `entities` is replaced.
@@ -17,6 +17,7 @@ import hmac
 import ipaddress
 import re
 import unicodedata
+import warnings
 from functools import lru_cache
 
 import pandas as pd
@@ -25,10 +26,20 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-KEY = "replace-this-key"
+KEY_SETTING = "spark.rosterlake.surrogateKey"
+TRIAL_KEY = "for trials only"
 TRIES = 8
 
-_EMAIL = re.compile(r"[\w.%+\-]+@[^\W_][\w\-]*(?:\.[\w\-]+)*\.[^\W\d_]{2,}")
+
+def surrogate_key(spark):
+    """The secret key named in the session's settings. Without one, surrogates can be undone by anyone who reads this file."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: surrogates are made with a public key, for trials only", stacklevel=2)
+    return key or TRIAL_KEY
+
+_DOMAIN = re.compile(r"[^\W_][\w\-]*(?:\.[\w\-]+)*\.[^\W\d_]{2,}")
+_REACH = re.compile(r"[\w.\-]*")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
 # Stretches of the characters that numbers are made of; the patterns below look only there.
 _STRETCH = re.compile(r"[+(0-9][0-9().+/ \-]*")
@@ -129,7 +140,7 @@ def _formatted(text, key, kind):
 
 
 @lru_cache(maxsize=50000)
-def surrogate(kind, entity, key=KEY):
+def surrogate(kind, entity, key):
     """The replacement of one entity; never the entity itself."""
     if kind == "name" and " " in entity:
         return " ".join(surrogate(kind, w, key) if not w[0].islower() else w for w in entity.split(" "))
@@ -178,14 +189,14 @@ def entities_of(text):
     """Entities as (start, end, kind) from left to right; of overlapping ones the first, then the longest."""
     found, at = [], text.find("@")
     while at >= 0:
+        # Only what stands before the sign since the last one, and the domain's characters after it, are read.
+        domain = _DOMAIN.match(text, at + 1, _REACH.match(text, at + 1).end())
         start = at
-        while start and not text[start - 1].isspace() and text[start - 1] != "@":
+        while domain and start and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
             start -= 1
-        # Only the stretch around the sign is matched, so a text is passed over once.
-        match = next((m for m in _EMAIL.finditer(text, start) if m.end() > at), None) if start < at else None
-        if match and match.start() < at:
-            found.append((match.start(), match.end(), "email"))
-            at = match.end() - 1
+        if domain and start < at:
+            found.append((start, domain.end(), "email"))
+            at = domain.end() - 1
         at = text.find("@", at + 1)
     found += [(*m.span(), "iban") for m in _IBAN.finditer(text) if not text[max(m.start() - 1, 0):m.start()].isalnum()]
     for stretch in _STRETCH.finditer(text):
@@ -208,7 +219,7 @@ def _kind(match):
     return next(k for k, v in match.groupdict().items() if v is not None and k not in ("gap", "sep")).rstrip("23456789")
 
 
-def replaced(text, key=KEY):
+def replaced(text, key):
     """The text with surrogates, and its entities as (kind, start, end, entity, surrogate)."""
     parts, found, last = [], [], 0
     for start, end, kind in entities_of(text):
@@ -222,7 +233,7 @@ def replaced(text, key=KEY):
 ENTITIES = "array<struct<kind:string,start:int,end:int,entity:string,surrogate:string>>"
 
 
-def with_surrogates(docs, key=KEY):
+def with_surrogates(docs, key):
     """Replaces the text of every document and adds its entities."""
     docs = docs.drop("entities")
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -248,17 +259,18 @@ def collisions(marked):
     return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def distinct_surrogates(docs, key=KEY):
-    """As with_surrogates, under the first of the keys derived from `key` without a collision, or the last of TRIES."""
-    for attempt in range(TRIES):
+def distinct_surrogates(docs, key, tries=TRIES):
+    """As with_surrogates, under the first of the keys derived from `key` without a collision; an error if `tries` have one."""
+    for attempt in range(tries):
         derived = f"{key}:{attempt}"
-        if attempt == TRIES - 1 or collisions(with_surrogates(docs.select("text"), derived)).isEmpty():
+        if collisions(with_surrogates(docs.select("text"), derived)).isEmpty():
             return with_surrogates(docs, derived)
+    raise ValueError(f"each of {tries} keys gives two entities one surrogate; set another key in {KEY_SETTING}")
 
 
 def op10_surrogates(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = distinct_surrogates(docs)
+    marked = distinct_surrogates(docs, surrogate_key(spark))
     return marked.select("doc_id", "text", F.size("entities").alias("n_entities"), F.to_json(F.transform(
         "entities", lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end"),
                                        e["surrogate"].alias("surrogate")))).alias("spans"))

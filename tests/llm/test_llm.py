@@ -212,7 +212,7 @@ def test_surrogates(spark):
     text = ("Mail jo.doe7@mail.example.com or +1 (743) 555-3824, card 4785380592391139, host 152.143.123.131, "
             "Frau Anna Meier, 123-45-6789")
     docs = documents(spark, [text, None, "", f"again jo.doe7@mail.example.com {text}", "jo.doe8@mail.example.com"])
-    marked = surrogates.distinct_surrogates(docs)
+    marked = surrogates.distinct_surrogates(docs, "k")
     rows = {r["doc_id"]: r for r in marked.collect()}
     kinds = [e["kind"] for e in rows[0]["entities"]]
     assert kinds == ["email", "phone", "card", "ip", "name", "ssn"]
@@ -291,7 +291,7 @@ def test_surrogate_loops_end(spark):
     assert all(a != b and b.isalpha() and not b.isascii() for a, b in zip("é", accented))
     assert surrogates.surrogate("name", "--", "k") != "--"
     docs = documents(spark, ["010.0.0.1", "10.0.0.1", "用户@例子.中国"])
-    rows = surrogates.distinct_surrogates(docs).orderBy("doc_id").collect()
+    rows = surrogates.distinct_surrogates(docs, "k").orderBy("doc_id").collect()
     assert rows[0]["text"] == rows[1]["text"] != "10.0.0.1" and rows[2]["text"] != "用户@例子.中国"
 
 
