@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from rosterlake.session import work_folder
 
 WORD = r"[\p{L}\p{N}]+"
+# Spark's setting that removes a statement's shuffle files at its end; otherwise they stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark, sf_dir, name):
@@ -14,10 +16,18 @@ def table(spark, sf_dir, name):
 
 
 def stored(frame, folder=None):
-    """Write to the shared work folder and read back, so that lost executors cost no recomputation."""
+    """Write to the shared work folder and read back, so that lost executors cost no recomputation.
+
+    The result is stored, so the shuffle files behind it are not needed again and go at once.
+    """
     spark = frame.sparkSession
     path = f"{folder or work_folder(spark)}/{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
