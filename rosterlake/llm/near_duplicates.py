@@ -286,8 +286,9 @@ def _links(base, nodes, folder):
         # Hubs are few: only their tokens meet the pairs.
         hub_tokens = tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens")).join(
             pairs.select("hub").distinct(), "hub", "left_semi")
-        # The first round's pairs grow with the table, so they are never broadcast; later rounds go by measured size.
-        checked = stored(pairs.join(tokens if rounds else tokens.hint("merge"), "node").join(hub_tokens, "hub").mapInPandas(
+        # The first round's pairs and hubs grow with the table, so none are broadcast; later rounds go by measured size.
+        sides = (tokens, hub_tokens) if rounds else (tokens.hint("merge"), hub_tokens.hint("merge"))
+        checked = stored(pairs.join(sides[0], "node").join(sides[1], "hub").mapInPandas(
             _verified, "hub bigint, node bigint, paths array<bigint>, near boolean, keys array<bigint>"), folder)
         rounds.append(checked)
         further = checked.select("hub", "node", "near", "keys", F.explode("paths").alias("path")).select(
