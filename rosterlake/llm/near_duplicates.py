@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.session import work_folder
 
-from .common import discarded, stored, table
+from .common import clustered, discarded, stored, table
 
 SHINGLE = 5
 SAMPLED = 2
@@ -37,6 +37,7 @@ SIMILARITY = 0.8
 
 KNOWN = 200000  # word hashes a task remembers
 CELLS = 1 << 21  # of a table that is filled at once
+HUBS = 64  # hubs a task remembers
 
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -239,11 +240,13 @@ def _refined(tokens, hub_kmers, near):
 
 
 def _verified(batches):
+    hubs = {}
     for batch in batches:
-        hubs, near, keys = {}, [], []
+        near, keys = [], []
         for hub, held, tokens in zip(batch["hub"], batch["hub_tokens"], batch["tokens"]):
             if hub not in hubs:
-                hubs.clear()
+                if len(hubs) >= HUBS:
+                    hubs.clear()
                 hubs[hub] = np.frombuffer(held, dtype=np.int32), np.unique(_kmers(_tokens(held)))
             near.append(similarity(hubs[hub][0], np.frombuffer(tokens, dtype=np.int32)) >= SIMILARITY)
             keys.append(_refined(_tokens(tokens), hubs[hub][1], near[-1]))
@@ -283,12 +286,10 @@ def _links(base, nodes, folder):
             F.collect_set("path").alias("paths")), folder)
         if pairs.isEmpty():
             break
-        # Hubs are few: only their tokens meet the pairs.
-        hub_tokens = tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens")).join(
-            pairs.select("hub").distinct(), "hub", "left_semi")
-        # The first round's pairs and hubs grow with the table, so none are broadcast; later rounds go by measured size.
-        sides = (tokens, hub_tokens) if rounds else (tokens.hint("merge"), hub_tokens.hint("merge"))
-        checked = stored(pairs.join(sides[0], "node").join(sides[1], "hub").mapInPandas(
+        # Tokens lie in buckets by row, so only pairs are shuffled: by hub, then with the hub's tokens by member. A hub
+        # may have many members, a member has few hubs, so the comparisons are dealt evenly.
+        hub_tokens = tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
+        checked = stored(pairs.join(hub_tokens, "hub").join(tokens, "node").mapInPandas(
             _verified, "hub bigint, node bigint, paths array<bigint>, near boolean, keys array<bigint>"), folder)
         rounds.append(checked)
         further = checked.select("hub", "node", "near", "keys", F.explode("paths").alias("path")).select(
@@ -307,8 +308,16 @@ def _classes(numbered):
     """
     spark = numbered.sparkSession
     folder = work_folder(spark)
-    base = stored(numbered.mapInPandas(
-        _sketches, "row bigint, doc_id bigint, high bigint, low bigint, keys array<bigint>, tokens binary"), folder)
+    sketched = numbered.mapInPandas(
+        _sketches, "row bigint, doc_id bigint, high bigint, low bigint, keys array<bigint>, tokens binary")
+    with clustered(sketched, "row", folder) as base:
+        result = _named(base, folder)
+    discarded(spark, folder)
+    return result
+
+
+def _named(base, folder):
+    """The classes of sketched rows, stored."""
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     nodes = stored(base.where(F.col("high").isNotNull()).groupBy("high", "low").agg(
         F.min("row").alias("node"), F.min_by("keys", "row").alias("keys"), F.min(first).alias("first")), folder)
@@ -320,12 +329,10 @@ def _classes(numbered):
         "root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("first").alias("named"))
     per_node = rooted.join(named, "root").select("high", "low", "named", "n_links")
-    result = stored(base.select("row", "doc_id", "high", "low").join(per_node, ["high", "low"], "left").select(
+    return stored(base.select("row", "doc_id", "high", "low").join(per_node, ["high", "low"], "left").select(
         "row", "doc_id", F.coalesce("named.doc_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.col("named.row") == F.col("row"), F.lit(True)).alias("stays")))
-    discarded(spark, folder)
-    return result
 
 
 def near_duplicate_classes(docs):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterlake.llm import near_duplicates
+from tests.conftest import plan
 
 DOCS = "doc_id bigint, text string"
 
@@ -83,3 +84,14 @@ def test_recall_of_pairs_by_share_of_changed_words(share, least):
             keys = [near_duplicates.sketch(near_duplicates._kmers(t.astype(np.uint64))) for t in (a, b)]
             found += bool((keys[0] == keys[1]).any())
     assert found / tried >= least
+
+
+def test_rounds_shuffle_pairs_only(spark, no_broadcast, texts, monkeypatch):
+    """However few or many the pairs are, the tokens of all rows stay where they lie."""
+    plans, write = [], near_duplicates.stored
+    monkeypatch.setattr(near_duplicates, "stored", lambda frame, *more: plans.append(plan(frame)) or write(frame, *more))
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(4)
+    assert near_duplicates.near_duplicate_classes(docs).count() == len(texts)
+    rounds = [p for p in plans if "_verified" in p]
+    assert rounds and {p.count("Exchange hashpartitioning") for p in rounds} == {2}
+    assert spark.catalog.listTables("default", "rosterlake_*") == []
