@@ -37,6 +37,7 @@ SIMILARITY = 0.8
 
 KNOWN = 200000  # word hashes a task remembers
 CELLS = 1 << 21  # of a table that is filled at once
+BATCH = 512  # rows that a task takes at once
 HUBS = 64  # hubs a task remembers
 
 _WORD = re.compile(r"[^\W_]+")
@@ -290,7 +291,7 @@ def _links(base, nodes, folder):
         # may have many members, a member has few hubs, so the comparisons are dealt evenly.
         hub_tokens = tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("hub_tokens"))
         checked = stored(pairs.join(hub_tokens, "hub").join(tokens, "node").mapInPandas(
-            _verified, "hub bigint, node bigint, paths array<bigint>, near boolean, keys array<bigint>"), folder)
+            _verified, "hub bigint, node bigint, paths array<bigint>, near boolean, keys array<bigint>"), folder, BATCH)
         rounds.append(checked)
         further = checked.select("hub", "node", "near", "keys", F.explode("paths").alias("path")).select(
             F.xxhash64("path", "hub").alias("path"), F.explode("keys").alias("key"), "node", "near")
@@ -310,7 +311,7 @@ def _classes(numbered):
     folder = work_folder(spark)
     sketched = numbered.mapInPandas(
         _sketches, "row bigint, doc_id bigint, high bigint, low bigint, keys array<bigint>, tokens binary")
-    with clustered(sketched, "row", folder) as base:
+    with clustered(sketched, "row", folder, BATCH) as base:
         result = _named(base, folder)
     discarded(spark, folder)
     return result

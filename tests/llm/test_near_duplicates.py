@@ -95,3 +95,20 @@ def test_rounds_shuffle_pairs_only(spark, no_broadcast, texts, monkeypatch):
     rounds = [p for p in plans if "_verified" in p]
     assert rounds and {p.count("Exchange hashpartitioning") for p in rounds} == {2}
     assert spark.catalog.listTables("default", "rosterlake_*") == []
+
+
+def test_tasks_take_few_rows_at_once(spark, monkeypatch):
+    most, whole = 512, near_duplicates._sketches
+
+    def measured(batches):
+        def small():
+            for batch in batches:
+                assert len(batch) <= most
+                yield batch
+        return whole(small())
+
+    monkeypatch.setattr(near_duplicates, "_sketches", measured)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")).coalesce(1)
+    assert near_duplicates.near_duplicate_classes(docs).count() == 3000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
