@@ -38,16 +38,19 @@ def _exploded(frame, key, masks):
 
 def contaminated_items(docs, benchmark, masks=MASKS, window=WINDOW, share=SHARE):
     """Verified pairs: doc_id, item_id and the best share of agreeing words."""
-    train = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.transform(
-        words(F.col("text")), lambda w: F.xxhash64(w)).alias("_words"))
-    test = benchmark.where(F.col("item_id").isNotNull()).select("item_id", F.transform(
-        words(F.col("text")), lambda w: F.xxhash64(w)).alias("_words"))
+    hashed = F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_words")
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    train = texts.select("doc_id", hashed)
+    test = benchmark.where(F.col("item_id").isNotNull()).select("item_id", hashed)
     wanted = _exploded(test, "item_id", masks).select("item_id", F.col("_at").alias("_item_at"), "_seed")
-    # Joins are planned by measured size: benchmark and stored hits are broadcast only below Spark's threshold.
+    # The benchmark is broadcast only below Spark's threshold.
     hits = (_exploded(train, "doc_id", masks).join(wanted, "_seed")
             .select("doc_id", "item_id", "_at", "_item_at").distinct())
     hits = stored(hits.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "_at", "_item_at")).alias("_hits")))
-    found = train.join(hits, "doc_id").select("doc_id", "_words", F.explode("_hits").alias("_hit"))
+    # Hits grow with the documents, so they are never broadcast. Texts are shuffled, shorter than their words' hashes, and
+    # only those with hits are split again.
+    found = texts.hint("merge").join(hits, "doc_id").select("doc_id", hashed, "_hits").select(
+        "doc_id", "_words", F.explode("_hits").alias("_hit"))
     span = len(masks[0])
     wide = found.select(
         "doc_id", "_hit.*",
