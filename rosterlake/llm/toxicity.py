@@ -14,12 +14,13 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .common import stored, table, words
 
@@ -27,6 +28,7 @@ SAMPLE = 20000
 LEXICON = 400
 FOLDS = 5
 KNOWN = 200000  # tokens a task remembers
+BATCH = 512  # sample rows that a task takes at once
 SAMPLE_TASKS = 6
 
 # Second-person words of the four languages, and spellings of letters.
@@ -40,7 +42,7 @@ _SHOUT = re.compile(r"[!?]{2,}|([^\W\d_])\1{2,}")
 
 
 def _reading(token, lexicon):
-    """What one token says, whatever its text: word, weight, and its counts."""
+    """What one token says, whatever its text: word, weight, and its counts. A plain token's word is left out."""
     word = _EDGE.sub("", token).lower()
     weight, disguised = lexicon.get(word), False
     if weight is None and _DISGUISED.search(token):
@@ -51,7 +53,8 @@ def _reading(token, lexicon):
     capitals = sum(c.isupper() for c in token)
     marks = token.count("!") + token.count("?")
     plain = weight is None and not disguised and word not in SECOND_PERSON
-    return plain, word, weight, disguised, word in SECOND_PERSON, (letters, capitals, marks, len(_SHOUT.findall(token)))
+    counts = letters, capitals, marks, len(_SHOUT.findall(token))
+    return plain, None if plain else word, weight, disguised, word in SECOND_PERSON, counts
 
 
 def features(text, lexicon, known=None):
@@ -66,7 +69,9 @@ def features(text, lexicon, known=None):
         if reading is None:
             if len(known) >= KNOWN:
                 known.clear()
-            reading = known[token] = _reading(token, lexicon)
+            reading = _reading(token, lexicon)
+            # Nearly all tokens are plain and read alike, so equal readings are kept once.
+            reading = known[token] = known.setdefault(reading, reading)
         plain, word, weight, changed, person, counts = reading
         letters += counts[0]
         capitals += counts[1]
@@ -112,18 +117,18 @@ def learnt_lexicon(train, size=LEXICON):
     return {row["word"]: float(row["weight"]) for row in top}
 
 
-def _featured(frame, lexicon, columns):
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name in columns)
+def _featured(frame, lexicon, name):
+    """The frame with the features of its texts. Batches stay Arrow; a task makes Python objects of one text at a time."""
 
     def build(batches):
         known = {}
         for batch in batches:
-            out = batch[columns].copy()
-            out["features"] = [features(t, lexicon, known) for t in batch["text"]]
-            yield pd.DataFrame(out)
+            found = [features(text.as_py(), lexicon, known) for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float64()))],
+                                             [*batch.schema.names, name])
 
-    return frame.select(*columns, "text").mapInPandas(build, f"{schema}, features array<double>").withColumn(
-        "features", array_to_vector("features"))
+    schema = type(frame.schema)([*frame.schema.fields]).add(name, ArrayType(DoubleType()))
+    return frame.mapInArrow(build, schema)
 
 
 def held_out():
@@ -142,7 +147,8 @@ def train(docs, labels, sample=SAMPLE):
     lexicon_rows = bounded.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) != 2)
     lexicon = learnt_lexicon(lexicon_rows)
     # The trees take many small jobs over these few numbers, so few tasks hold them.
-    featured = stored(_featured(bounded, lexicon, ["doc_id", "toxic"]).repartition(SAMPLE_TASKS, "doc_id"))
+    featured = _featured(bounded, lexicon, "features").select("doc_id", "toxic", array_to_vector("features").alias("features"))
+    featured = stored(featured.repartition(SAMPLE_TASKS, "doc_id"), batch=BATCH)
     part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3))
     grown = GBTClassifier(labelCol="toxic", maxIter=20, maxDepth=3, stepSize=0.3, seed=1).fit(
         featured.where(part != 2))
@@ -163,17 +169,7 @@ def score(docs, model):
     if lexicon is None:
         scored = out.withColumn("score", F.lit(float(grown)))
     else:
-        schema = out.schema
-        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-
-        def build(batches):
-            known = {}
-            for batch in batches:
-                batch = batch.copy()
-                batch["_features"] = [features(t, lexicon, known) for t in batch["text"]]
-                yield batch
-
-        featured = out.mapInPandas(build, f"{types}, _features array<double>")
+        featured = _featured(out, lexicon, "_features")
         if grown.getFeaturesCol() != "_vector":
             grown = grown.copy()
             for setter, name in ((grown.setFeaturesCol, "_vector"), (grown.setPredictionCol, "_prediction"),
