@@ -14,6 +14,7 @@ from rosterlake.operators.checks import require_unstored_facts, stored_duplicate
 from rosterlake.operators.keys import stored_on_days
 from rosterlake.streaming.entries import read_entries
 from tests.conftest import day, plan, rows
+from verification.lens import Lens
 
 DAYS = "emp_id long, work_date date"
 MONDAY = day("2024-01-01")
@@ -364,3 +365,13 @@ def test_a_stream_without_employee_or_day(spark, lake, tmp_path):
         assert loaded(lake, "emp_id", "work_date", "hours_worked") == [(5, plus(1), 4.0), (None, plus(1), 8.0)]
         assert rows(lake.read(QUARANTINE), "emp_id", "work_date", "hours_worked", "reason") == [
             (5, None, 90.0, "hours out of range"), (None, plus(1), 4.0, "conflict")]
+
+
+def test_entries_of_lines_joined_once_are_the_same(spark, tmp_path):
+    kept = Lens(spark, "/root/testdata/sf0.001")
+    once = kept.joined_once(str(tmp_path / "raw"))
+    for name in ("daily_entries", "absences", "weekend_work", "daily_adjustments"):
+        got = getattr(once, name)
+        assert got.schema == getattr(kept, name).schema
+        assert rows(got) == rows(getattr(kept, name))
+        assert "orders.parquet" not in plan(got)
