@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from rosterlake.plans import load
 from rosterlake.plans.load import FACT, QUARANTINE, Inputs, load_increment
 from rosterlake.schemas import SCHEDULE
-from rosterlake.streaming.entries import load_entries
-from rosterlake.operators.checks import require_unstored_facts, stored_duplicates
+from rosterlake.plans.facts import fact_metrics
+from rosterlake.streaming.entries import decide, load_entries
+from rosterlake.operators.checks import require_unstored_facts, stored_duplicates, with_reason
 from rosterlake.operators.keys import stored_on_days
 from rosterlake.streaming.entries import read_entries
 from tests.conftest import day, plan, rows
@@ -375,3 +376,14 @@ def test_entries_of_lines_joined_once_are_the_same(spark, tmp_path):
         assert got.schema == getattr(kept, name).schema
         assert rows(got) == rows(getattr(kept, name))
         assert "orders.parquet" not in plan(got)
+
+
+def test_a_stream_shuffles_no_ids(lake, inputs):
+    lake.create(FACT)
+    entries = inputs.entries.withColumn("project_id", F.lit(7).cast("long"))
+    judged = with_reason(fact_metrics(entries, "RUN-1", dt.datetime(2024, 1, 31), keep=[])).withColumn(
+        "arrival", F.monotonically_increasing_id())
+    decided = decide(judged, lake.read(FACT))
+    assert decided.columns == [*lake.read(FACT).columns, "reason"]
+    told = [line for line in plan(decided).splitlines() if "Exchange hashpartitioning" in line]
+    assert told and not any("timesheet_id" in line or "revenue_usd" in line for line in told)
